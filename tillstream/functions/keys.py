@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BASE = [
     "retailstoreid",
@@ -58,7 +58,7 @@ def with_txn_key(df: DataFrame) -> DataFrame:
     return df.withColumns({"txn_key": txn_key(), "txn5": txn5()})
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def _xxh64(texts: pa.Array) -> pa.Array:
     # Spark's xxhash64() is seeded with 42; stored keys use seed 0, big-endian.
     digest = xxhash.xxh64_digest
