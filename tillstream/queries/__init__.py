@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("scalar", "rules", "stores")
+MODULES = ("scalar", "rules", "stores", "streams")
 
 
 def load_all() -> None:

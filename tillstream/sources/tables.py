@@ -45,8 +45,16 @@ def scan(spark: SparkSession, path: str, columns: list[str], since: tuple | None
 def stream_table(
     spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1000
 ) -> DataFrame:
-    """Incremental scan of a table directory: each micro-batch reads the new files."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+    """Incremental scan of a table directory: each micro-batch reads the new files.
+
+    A table that is a single file is watched through its folder.
+    """
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    files = spark.read.schema(schema).parquet(path).inputFiles()
+    if len(files) == 1 and files[0].endswith("/" + name):
+        return reader.option("pathGlobFilter", name).parquet(folder)
+    return reader.parquet(path)
 
 
 def write_targets(
