@@ -7,7 +7,7 @@ from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tillstream.sources.tables import shared_dir
 from tillstream.streaming.dedup import ROCKSDB
@@ -29,22 +29,41 @@ def rocksdb_state(spark: SparkSession):
             spark.conf.set(_PROVIDER, before)
 
 
-def drain(writer: DataStreamWriter, spark: SparkSession, done: Callable[[], bool] | None = None,
-          patience_s: float = 120.0) -> None:
+def _idle(query: StreamingQuery) -> bool:
+    """All input seen: the query waits for data, or ran a batch that found none.
+
+    Queries with processing-time state run empty batches forever, so
+    ``processAllAvailable`` would not return.
+    """
+    status, last = query.status, query.lastProgress
+    if status["message"].startswith("Waiting for data"):
+        return True
+    return last is not None and last["numInputRows"] == 0 and not status["isDataAvailable"]
+
+
+def drain(
+    writer: DataStreamWriter,
+    spark: SparkSession,
+    done: Callable[[], bool] | None = None,
+    patience_s: float = 600.0,
+) -> None:
     """Start, process all input, wait for ``done`` (timers need time to fire), stop."""
     with rocksdb_state(spark):
         query = writer.option("checkpointLocation", shared_dir(spark, "checkpoint")).start()
         try:
-            query.processAllAvailable()
             deadline = time.monotonic() + patience_s
-            while done is not None and not done() and time.monotonic() < deadline:
-                time.sleep(0.5)
+            while not (_idle(query) and (done is None or done())):
+                if query.exception() is not None:
+                    raise query.exception()
+                if time.monotonic() > deadline:
+                    raise TimeoutError(f"stream still busy after {patience_s} s")
+                time.sleep(0.2)
         finally:
             query.stop()
 
 
 def to_table(
-    stream: DataFrame, done: Callable[[DataFrame], bool] | None = None, patience_s: float = 120.0
+    stream: DataFrame, done: Callable[[DataFrame], bool] | None = None, patience_s: float = 600.0
 ) -> DataFrame:
     """Drain a stream into a table directory and return it as a batch table."""
     spark = stream.sparkSession
