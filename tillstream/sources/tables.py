@@ -6,10 +6,11 @@ import os
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-TARGET_FILE_BYTES = 268_435_456
+CONCURRENT_WRITES = 4
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
@@ -26,11 +27,12 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write to the shared folder and read back: survives the loss of executors."""
     path = shared_dir(df.sparkSession, "stage")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    writer = df.write if by is None else df.write.partitionBy(by)
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def scan(spark: SparkSession, path: str, columns: list[str], since: tuple | None = None) -> DataFrame:
@@ -69,11 +71,16 @@ def write_targets(
     retried batch leaves the same rows.  Tables with a fixed number of writers are
     spread over that many; the others are rebalanced to whole files.
     """
-    for table, df in routes.items():
+
+    def write(table: str) -> None:
         n = (writers or {}).get(table)
-        sized = df.repartition(n) if n else df.hint("rebalance")
+        sized = routes[table].repartition(n) if n else routes[table].hint("rebalance")
         sized.write.mode("overwrite").parquet(f"{base_path}/{table}/batch_id={batch_id}")
 
+    # Small targets leave most of a cluster idle, so a few are written at a time.
+    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+        list(pool.map(write, routes))
+
 
 # Writers per target, by volume.
 WRITERS = {
