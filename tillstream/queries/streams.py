@@ -192,16 +192,14 @@ SETTINGS = ingest.Settings(online_source=ONLINE)
 
 
 def _message_table(t: Tables):
-    """Encoded messages holding the transactions with lines, tenders, extensions, movements."""
+    """Encoded messages holding the transactions with lines, tenders, extensions and movements."""
     segments = {
         "E1BPTRANSACTION": t.transactions,
         "E1BPRETAILLINEITEM": t.items,
         "E1BPTENDER": t.tenders,
         "E1BPTENDEREXTENSIONS": t.tender_ext,
         "E1BPTRANSACTEXTENSIO": t.txn_ext,
-        "E1BPLINEITEMEXTENSIO": t.item_ext,
         "E1BPFINANCIALMOVEMEN": t.movements,
-        "E1BPTRANSACTIONDISCO": t.txn_discounts,
     }
     xml = documents.build_xml(segments)
     payload = messages.encode_payload(F.col("value"))
