@@ -318,8 +318,16 @@ def _render(text: str, words: dict[str, str]) -> str:
     return text
 
 
+# A table kept as one file is read by one task; its rows are spread by these keys.
+SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table.  Tables of many files keep the partitioning of their files."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in SPREAD and len(df.inputFiles()) == 1:
+        return df.repartition(spark.sparkContext.defaultParallelism, SPREAD[name])
+    return df
 
 
 def from_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:

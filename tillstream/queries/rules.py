@@ -372,23 +372,10 @@ select doc_id, txn5, retailsequencenumber, coalesce(tax, '') as tax_mark, code a
 from marks""",
 )
 def a9(t):
-    key5 = F.concat_ws(
-        "|",
-        *[
-            F.col("line_key")[c]
-            for c in (
-                "retailstoreid",
-                "businessdaydate",
-                "transactiontypecode",
-                "workstationid",
-                "transactionsequencenumber",
-            )
-        ],
-    )
-    return cancel.line_marks(t.item_ext).select(
-        F.col("line_key.doc_id").alias("doc_id"),
-        key5.alias("txn5"),
-        F.col("line_key.retailsequencenumber").alias("retailsequencenumber"),
+    return with_txn_key(cancel.line_marks(t.item_ext)).select(
+        "doc_id",
+        "txn5",
+        "retailsequencenumber",
         "tax_mark",
         "code_mark",
     )
