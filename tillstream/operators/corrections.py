@@ -91,7 +91,8 @@ def rounding_items(items: DataFrame, sums: DataFrame, keys: list[str] = TXN5) ->
     """The rounding lines to add, one per transaction with a small gap."""
     header = [c for c in BASE if c not in keys and c != "transactiontypecode"]
     # Headers are equal within a transaction, so any row's will do.
-    heads = items.groupBy(*keys).agg(
+    in_types = items.where(F.col("transactiontypecode").isin(*ROUNDING_ADD_TYPES))
+    heads = in_types.groupBy(*keys).agg(
         *[F.first(c).alias(c) for c in header], F.max("pos").alias("last_pos")
     )
     line = {k: F.lit(v) for k, v in ROUNDING_LINE.items()}
