@@ -250,7 +250,8 @@ select {_BASE}, o_orderkey as pos,
   cast(o_orderkey % 3 + 1 as [string]) as discountsequencenumber,
   case when o_orderkey % 12 = 0 then [null_string]
     else cast(o_orderkey % 90 as [string]) end as discounttypecode,
-  cast(cast(o_totalprice * 0.01 as decimal(32,2)) as [string]) as reductionamount,
+  cast(cast(cast(o_totalprice as decimal(32,2)) * cast(0.01 as decimal(3,2))
+    as decimal(32,2)) as [string]) as reductionamount,
   cast(o_custkey as [string]) as bonusbuyid
 from {{orders}} where o_orderkey % 4 = 0""",
     "movements": f"""
