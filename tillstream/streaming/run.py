@@ -13,20 +13,31 @@ from tillstream.sources.tables import shared_dir
 from tillstream.streaming.dedup import ROCKSDB
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession):
-    """Queries started inside keep their state in RocksDB."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
+def state_settings(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB.
+
+    A local session gets no more state partitions than it has threads; on a cluster
+    the session's own number stands.
+    """
+    wanted = {_PROVIDER: ROCKSDB}
+    if spark.sparkContext.master.startswith("local"):
+        threads = spark.sparkContext.defaultParallelism
+        wanted[_PARTITIONS] = str(min(threads, int(spark.conf.get(_PARTITIONS))))
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def _idle(query: StreamingQuery) -> bool:
@@ -48,7 +59,7 @@ def drain(
     patience_s: float = 600.0,
 ) -> None:
     """Start, process all input, wait for ``done`` (timers need time to fire), stop."""
-    with rocksdb_state(spark):
+    with state_settings(spark):
         query = writer.option("checkpointLocation", shared_dir(spark, "checkpoint")).start()
         try:
             deadline = time.monotonic() + patience_s
