@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import SparkSession, types as T  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
 
 from tillstream.functions.keys import BASE, with_txn_key  # noqa: E402
 

@@ -3,7 +3,6 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
-from tillstream.functions.keys import TXN5
 from tillstream.operators import cancel, corrections, dictionaries, erp, history, ordered
 from tillstream.operators import outbound, staging, synthetic
 

@@ -3,7 +3,6 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tillstream.functions.keys import BASE
 from tillstream.plans import ingest, schemas
 from tillstream.sources import documents, messages, tables
 

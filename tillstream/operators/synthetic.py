@@ -49,7 +49,6 @@ def synthetic_tenders(
     if newest:
         lines = lines.where(F.coalesce(F.col("retailtypecode") != "2020", F.lit(True)))
     web = F.col("fieldname").contains("SOURCE") & F.col("fieldvalue").contains(source)
-    none = F.lit(None)
     # One exchange for the three inputs: each contributes its own columns.
     facts = union_all(
         lines.select(

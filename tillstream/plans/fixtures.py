@@ -8,8 +8,6 @@ or one join on the order key: work grows with the tables.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 
 SPARK = {
@@ -341,16 +339,14 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return from_sql(spark, sf_dir, _TEXT[name])
 
 
-@lru_cache(maxsize=None)
-def fixture_sql(name: str) -> str:
-    """The same SELECT for the checking database."""
-    text = _render(_TEXT[name], DUCK)
+def duck_sql(text: str) -> str:
+    """A fixture text as the checking database spells it."""
+    text = _render(text, DUCK)
     for t in TABLES:
         text = text.replace("{" + t + "}", t)
     return text
 
 
-def with_fixtures(*names: str, body: str, recursive: bool = False) -> str:
-    """``WITH`` the named fixtures, then ``body`` (which may add more CTEs after a comma)."""
-    head = "with recursive " if recursive else "with "
-    return head + ",\n".join(f"{n} as ({fixture_sql(n)})" for n in names) + "\n" + body
+def fixture_sql(name: str) -> str:
+    """The same SELECT for the checking database."""
+    return duck_sql(_TEXT[name])

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillstream.functions.keys import TXN, TXN5, with_txn_key
+from tillstream.functions.keys import TXN, with_txn_key
 from tillstream.operators import cancel, corrections, dictionaries, erp, staging, synthetic
-from tillstream.queries.catalog import KEY, KEY5, Tables, ctes, keyed, register
+from tillstream.operators.history import rededup
+from tillstream.queries.catalog import Tables, ctes, register
 
 ONLINE = "web.store"
 LINE = ["transactionsequencenumber", "pos"]
@@ -796,12 +797,6 @@ def j15(t):
         "pos", key.alias("key")
     )
     stored = txns.where("businessdaydate >= '20010601'").select(key.alias("key")).distinct()
-    return erp_rededup(moved, stored)
-
-
-def erp_rededup(moved, stored):
-    from tillstream.operators.history import rededup
-
     return rededup(moved, stored, order=["pos"], key="key")
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from tillstream.functions import casts, keys, text
 from tillstream.operators import staging
-from tillstream.plans.fixtures import from_sql
-from tillstream.queries.catalog import KEY, ctes, keyed, register
+from tillstream.operators.cancel import line_key
+from tillstream.plans.fixtures import duck_sql, from_sql
+from tillstream.queries.catalog import ctes, register
 
 ID = ["doc_id", "transactionsequencenumber"]
 
@@ -33,8 +34,6 @@ group by all""",
 )
 def p3(t):
     """Lines and their extensions meet on the six key columns."""
-    from tillstream.operators.cancel import line_key
-
     left = t.items.select(
         "transactionsequencenumber", "retailsequencenumber", line_key().alias("line_key")
     )
@@ -98,15 +97,6 @@ select o_orderkey, case o_orderkey % 8
 from {orders}"""
 
 
-def _duck(text: str) -> str:
-    from tillstream.plans.fixtures import DUCK, TABLES, _render
-
-    out = _render(text, DUCK)
-    for name in TABLES:
-        out = out.replace("{" + name + "}", name)
-    return out
-
-
 def _part(c: str, first: int, size: int, default: int) -> str:
     return (
         f"case when length({c}) >= {first + size - 1} and "
@@ -121,7 +111,7 @@ _PARSED = f"try_cast(printf('%04d-%02d-%02d', {_Y}, {_M}, {_D}) as date)"
 
 @register(
     "p6_dates",
-    f"""with d as ({_duck(_DATES)})
+    f"""with d as ({duck_sql(_DATES)})
 select o_orderkey,
   cast(case when trim(stamp) = '' or stamp is null then null
     else coalesce({_PARSED}, date '1970-01-01') end as varchar) as raw_day,
@@ -146,7 +136,7 @@ _TEXT6 = f"printf('%04d-%02d-%02d %02d:%02d:%02d', {', '.join(_PARTS6)})"
 
 @register(
     "p7_timestamps",
-    f"""with d as ({_duck(_DATES)})
+    f"""with d as ({duck_sql(_DATES)})
 select o_orderkey,
   strftime(case when trim(moment) <> '' then try_cast({_TEXT6} as timestamp) end,
     '%Y-%m-%d %H:%M:%S') as moment_ts,
@@ -180,7 +170,7 @@ from {lineitem}"""
 
 @register(
     "p8_decimals",
-    f"""with d as ({_duck(_NUMBERS)})
+    f"""with d as ({duck_sql(_NUMBERS)})
 select l_orderkey, l_linenumber, l_partkey,
   try_cast(nullif(number, '') as decimal(32,2)) as money,
   try_cast(nullif(number, '') as decimal(32,3)) as quantity,
@@ -201,7 +191,7 @@ def p8(t):
 
 @register(
     "p9_int_bool",
-    f"""with d as ({_duck(_NUMBERS)})
+    f"""with d as ({duck_sql(_NUMBERS)})
 select l_orderkey, l_linenumber, l_partkey,
   case when regexp_full_match(whole, '[+-]?[0-9]+') then try_cast(whole as int) end as whole_int,
   case when lower(truth) <> 'null' then lower(truth) = 'true' end as truth_bool

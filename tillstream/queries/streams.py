@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillstream.operators import history, outbound, staging
 from tillstream.plans import ingest
-from tillstream.queries.catalog import KEY, Tables, ctes, register
+from tillstream.queries.catalog import Tables, ctes, register
 from tillstream.queries.rules import ONLINE
-from tillstream.queries.stores import LOAD, _documents, outbound_rows
+from tillstream.queries.stores import LOAD, outbound_rows
 from tillstream.sources import documents, messages, tables
 from tillstream.streaming import collect, dedup, run
 
