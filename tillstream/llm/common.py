@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tillstream.sources.tables import shared_dir
 
@@ -67,3 +67,37 @@ def small(df: DataFrame, label: str) -> DataFrame:
     """Store a table and hint a broadcast only if its row count allows one."""
     table = stored(df, label)
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def append_arrow(df: DataFrame, make, added: str, drop: tuple[str, ...] = ()) -> DataFrame:
+    """Each Arrow batch with further columns.
+
+    ``make()`` is called once per task and gives a function from a record batch to a
+    list of arrays, one for each column of the DDL string ``added``.  Columns of those
+    names are replaced, columns in ``drop`` are left out of the result.
+    """
+    import pyarrow as pa
+
+    new = T.StructType.fromDDL(added)
+    names = [f.name for f in new]
+    old = without(df, *names)
+    kept = [c for c in old if c not in drop]
+    schema = T.StructType([df.schema[c] for c in kept] + list(new))
+
+    def run(batches):
+        step = make()
+        for batch in batches:
+            arrays = step(batch)
+            # Spark reads columns by position; names may repeat in odd tables.
+            columns = [batch.column(old.index(c)) for c in kept] + list(arrays)
+            yield pa.RecordBatch.from_arrays(columns, names=kept + names)
+
+    return df.select(*quoted(old)).mapInArrow(run, schema)
+
+
+def texts_as_bytes(batch) -> list[bytes]:
+    """The column ``text`` as UTF-8, null as empty."""
+    import pyarrow as pa
+
+    column = batch.column(batch.schema.get_field_index("text"))
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]

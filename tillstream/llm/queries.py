@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillstream.llm import chat, common, mixing, sharding
+from tillstream.llm import chat, common, decontaminate, lm, mixing, quality, sharding, simhash, suffixes, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +27,16 @@ def unsigned_crc32(data):
     return F.crc32(data).cast("long")
 
 
+#: Where the public tokenizers' vocabulary files are.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+
+
+@register("op1_token_counts")
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = tokens.Vocabulary.from_sentencepiece(f"{TOKENIZERS}/piece_bpe_32k.model")
+    return tokens.token_counts(common.documents(spark, sf_dir).select("doc_id", "text"), vocabulary, ("text",))
+
+
 @register("op2_sharding")
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards are written and read back; the digests come from what was read."""
@@ -44,6 +55,40 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op3_decontamination")
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each benchmark item found in a document; clean documents have none."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.leaks(common.documents(spark, sf_dir), benchmark)
+
+
+@register("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    docs = common.documents(spark, sf_dir).select("doc_id", "text")
+    return quality.judge(docs, labels, ("text",))
+
+
+@register("op5_simhash")
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(common.documents(spark, sf_dir))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@register("op6_suffixes")
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.cut(common.documents(spark, sf_dir).select("doc_id", "text"))
+    return cut.select(
+        "doc_id",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        F.aggregate(
+            "removed", F.lit(0).cast("long"), lambda n, s: n + (s["stop"] - s["start"]).cast("long")
+        ).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 OP7_SQL = """
 with d as (
     select doc_id, source, md5(coalesce(text, '')) as h, coalesce(text, '') as t,
@@ -123,7 +168,12 @@ from e group by conv_id
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations are formatted once; turns and loss come from the formatted strings."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
-    planted = spark.createDataFrame([(-1, 0, "user", PLANTED), (-1, 1, "assistant", PLANTED)], turns.schema)
+    planted = spark.range(2).select(
+        F.lit(-1).alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(PLANTED).alias("text"),
+    )
     formatted = chat.format_conversations(turns.unionAll(planted))
     told = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     both = formatted.withColumn("messages", chat.messages_of())
@@ -139,3 +189,8 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(loss, 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@register("op10_lm")
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.held_out_scores(common.documents(spark, sf_dir))
