@@ -225,10 +225,19 @@ MARK = "key long, ctx long, doc_id {id}, hash long, start int, stop int"
 
 
 def _table(*columns):
+    """A record batch; all batches of a task must have one schema, so names are numbers."""
     import pyarrow as pa
 
-    names = [f"c{i}" for i in range(len(columns))]
-    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
+    def array(column):
+        if isinstance(column, pa.ChunkedArray):
+            return column.combine_chunks()
+        return column if isinstance(column, pa.Array) else pa.array(column)
+
+    arrays = [array(c) for c in columns]
+    return pa.RecordBatch.from_arrays(
+        [a.chunk(0) if isinstance(a, pa.ChunkedArray) else a for a in arrays],
+        names=[f"c{i}" for i in range(len(arrays))],
+    )
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
@@ -307,7 +316,7 @@ def repeated_contexts(rows: DataFrame) -> DataFrame:
             batch = pa.Table.from_batches([batch]).combine_chunks()
             spans = batch.filter(batch["key"].is_null())
             if spans.num_rows:
-                yield from spans.to_batches()
+                yield _table(*spans.columns)
             batch = batch.filter(batch["key"].is_valid())
             if not batch.num_rows:
                 continue
@@ -344,11 +353,11 @@ def repeated_contexts(rows: DataFrame) -> DataFrame:
                 place = part["start"].to_numpy()
                 none = pa.nulls(part.num_rows, pa.int64())
                 yield _table(
-                    none, none, part["doc_id"].combine_chunks(), part["hash"].combine_chunks(),
+                    none, none, part["doc_id"], part["hash"],
                     np.maximum(0, place - REACH).astype(np.int32), (place + LENGTH).astype(np.int32),
                 )
             else:
-                yield from part.combine_chunks().to_batches()
+                yield _table(*part.columns)
 
     # Spans have no key to meet under; their place keeps them from meeting in one task.
     home = F.coalesce("key", F.xxhash64("doc_id", "hash", "start"))
@@ -385,7 +394,7 @@ def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.select("doc_id", "text", "hash", "places").mapInArrow(run, schema)
 
 
-def compared(found: DataFrame) -> DataFrame:
+def compared(found: DataFrame, most: int = GROUP) -> DataFrame:
     """Spans from sorted suffixes, and the contexts of strings that have too many.
 
     A span has start and stop and no bytes; a context that is left over keeps its bytes.
@@ -430,7 +439,7 @@ def compared(found: DataFrame) -> DataFrame:
                     group, key, large = {}, row[0], False
                 if not large:
                     group[row[1]] = row  # of equal contexts one is enough
-                    if len(group) > GROUP:
+                    if len(group) > most:
                         out += [(k, c, d, h, b, a, at, None) for k, c, d, h, at, b, a in group.values()]
                         group, large = {}, True
                 else:
@@ -477,20 +486,23 @@ def counted(large: DataFrame) -> DataFrame:
         large.dropDuplicates(["key", "ctx"]).mapInArrow(run, f"a long, b long, ctx long, doc_id {id_type}, hash long, start int"),
         "frequent-strings",
     )
-    twice = strings.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Contexts overlap, so one string can come from several; two places are needed.
+    place = F.struct("doc_id", "hash", "start")
+    places = strings.groupBy("a", "b").agg(F.min(place).alias("p"), F.max(place).alias("q"))
+    twice = places.where("not p <=> q").select("a", "b")
     return strings.join(twice, ["a", "b"], "left_semi").select(
         "doc_id", "hash", "start", (F.col("start") + LENGTH).alias("stop")
     )
 
 
-def repeats(docs: DataFrame) -> DataFrame:
+def repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """(doc_id, hash, start, stop): byte spans that repeat; they may overlap.
 
     ``docs`` has doc_id, text and hash, the XXH64 of the text.
     """
     marks = stored(repeated_contexts(anchor_rows(docs)), "repeat-marks")
     found = stored(contexts(docs, marks.where("key is not null")), "repeat-contexts")
-    solved = stored(compared(found), "repeat-spans")
+    solved = stored(compared(found, group), "repeat-spans")
     spans = [
         marks.where("key is null").select("doc_id", "hash", "start", "stop"),
         solved.where("stop is not null").select("doc_id", "hash", "start", "stop"),
@@ -504,7 +516,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     return out
 
 
-def cut(docs: DataFrame) -> DataFrame:
+def cut(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """Every document with its removed spans and what is left of its text.
 
     Adds ``removed`` (sorted byte spans) and ``kept`` (the remaining bytes).
@@ -513,7 +525,7 @@ def cut(docs: DataFrame) -> DataFrame:
     marked = docs.withColumn("hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     narrow = marked.select("doc_id", "text", "hash")
     spans = (
-        repeats(narrow)
+        repeats(narrow, group)
         .groupBy(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"))
         .agg(F.collect_set(F.struct("start", "stop")).alias("_spans"))
     )

@@ -54,7 +54,8 @@ class Vocabulary:
 
     @cached_property
     def separable(self) -> bool:
-        return not any(re.search(f"[^{SPACE}]{SPACE}", p) for p, _ in self.pieces)
+        crossing = any(re.search(f"[^{SPACE}]{SPACE}", p) for p, _ in self.pieces)
+        return not crossing and any(p == SPACE for p, _ in self.pieces)
 
     @cached_property
     def automaton(self):
@@ -82,34 +83,34 @@ class Counter:
         n, fallback = len(text), self.vocabulary.byte_fallback
         score = [0.0] * (n + 1)
         count = [0] * (n + 1)
-        #: Whether the path's last piece is unknown: neighbours then are one stretch.
-        open_end = bytearray(n + 1)
+        #: Of a path that ends in unknown pieces, which the model makes one stretch: the
+        #: count before the stretch, its bytes, and whether it is the unknown piece itself.
+        stretch: dict[int, tuple[int, int, bool]] = {}
         matches = self.vocabulary.automaton.iter(text)
         held = next(matches, None)
         for end in range(1, n + 1):
-            best, pieces, unknown, single = None, 0, 0, False
+            best, start, unknown, single = None, end - 1, False, False
             while held is not None and held[0] == end - 1:
                 size, value, is_unknown = held[1]
-                start = end - size
-                candidate = score[start] + value
+                candidate = score[end - size] + value
                 single = single or size == 1
                 if best is None or candidate > best:
-                    best = candidate
-                    if is_unknown:
-                        pieces = count[start] + (0 if open_end[start] and not fallback else 1)
-                        unknown = 1
-                    else:
-                        pieces, unknown = count[start] + 1, 0
+                    best, start, unknown = candidate, end - size, is_unknown
                 held = next(matches, None)
+            named = unknown
             if not single:
                 candidate = score[end - 1] + self.unknown
                 if best is None or candidate > best:
-                    best, unknown = candidate, 1
-                    if fallback:
-                        pieces = count[end - 1] + len(text[end - 1].encode())
-                    else:
-                        pieces = count[end - 1] + (0 if open_end[end - 1] else 1)
-            score[end], count[end], open_end[end] = best, pieces, unknown
+                    best, start, unknown, named = candidate, end - 1, True, False
+            score[end] = best
+            if unknown:
+                before, size, _ = stretch.get(start, (count[start], 0, True))
+                size += len(text[start:end].encode())
+                named = named and start not in stretch
+                stretch[end] = before, size, named
+                count[end] = before + (size if fallback and not named else 1)
+            else:
+                count[end] = count[start] + 1
         return count[n]
 
     def count(self, text: str) -> int:
