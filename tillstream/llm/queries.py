@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillstream.llm import chat, common, decontaminate, lm, mixing, quality, sharding, simhash, suffixes, tokens
+from tillstream.llm import chat, common, decontaminate, idfiles, lm, mixing, quality, sharding, simhash, suffixes, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -191,6 +191,18 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The end id and the file of the tokenizer that drops white space.
+END_ID, WORD_TOKENIZER = 2, "word_bpe_49k.json"
+
+
+@register("op9_token_ids")
+def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids are written to coded files; everything returned is decoded from those."""
+    path = common.scratch(spark, "token-ids")
+    idfiles.write_ids(common.documents(spark, sf_dir), f"{TOKENIZERS}/{WORD_TOKENIZER}", END_ID, path)
+    return idfiles.read_checksums(spark.read.parquet(path))
+
+
 @register("op10_lm")
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.held_out_scores(common.documents(spark, sf_dir))
