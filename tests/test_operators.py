@@ -290,16 +290,15 @@ def test_document_numbers_only_grow(spark, segment, values):
     assert got == [("0001", "31", "0042"), ("0001", "32", "0041"), ("0002", "31", "0050")]
 
 
-def test_large_movements_leave_in_parts_and_lose_nothing(spark):
+def test_a_movement_is_one_document_in_order(spark):
     cols = [*outbound.HEADER, *outbound.ITEM]
     rows = [("k", *[None if c == "retailstoreid" else c for c in cols], "G", f"N{i}", "v", i) for i in range(25)]
     rows += [("m", *cols, "G", None, "v", 0)]
     schema = ", ".join(["key string", *[f"{c} string" for c in cols], "fieldgroup string", "fieldname string", "fieldvalue string", "pos int"])
-    docs = outbound.build_documents(spark.createDataFrame(rows, schema), key="key", part_size=10)
-    got = docs.orderBy("key", "part").collect()
-    assert [(r.key, r.part, r.parts, r.retailstoreid) for r in got[:3]] == [("k", i, 3, "UNKNOWN") for i in range(3)]
-    names = [x.fieldname for r in got[:3] for x in r.extensions or []]
-    assert sorted(names) == sorted(f"N{i}" for i in range(25))
-    assert got[3].key == "m" and got[3].extensions is None
+    docs = outbound.build_documents(spark.createDataFrame(rows, schema), key="key")
+    got = docs.orderBy("key").collect()
+    assert [(r.key, r.retailstoreid, r.extension_count) for r in got] == [("k", "UNKNOWN", 25), ("m", "retailstoreid", 0)]
+    assert [x.fieldname for x in got[0].extensions] == [f"N{i}" for i in range(25)]
+    assert got[1].extensions is None
     xml = outbound.document_xml(docs).where("key = 'm'").first().xml
     assert "<WPUFIB01>" in xml and 'BEGIN="1"' in xml

@@ -63,12 +63,12 @@ def test_bundles_unpack_to_the_flattened_rows(spark, segment):
     assert "0001|20240102|0000001001|8" in moved
 
 
-def test_write_targets_is_idempotent_per_batch(spark, tmp_path):
+def test_write_targets_is_idempotent_per_load(spark, tmp_path):
     df = spark.range(10)
     for _ in range(2):
-        tables.write_targets({"a": df, "b": df.where("id < 3")}, 1, str(tmp_path), {"a": 2})
-    tables.write_targets({"a": df}, 2, str(tmp_path))
-    assert spark.read.parquet(f"{tmp_path}/a").groupBy("batch_id").count().count() == 2
+        tables.write_targets({"a": df, "b": df.where("id < 3")}, "one", str(tmp_path))
+    tables.write_targets({"a": df}, "two", str(tmp_path))
+    assert spark.read.parquet(f"{tmp_path}/a").groupBy("load_id").count().count() == 2
     assert spark.read.parquet(f"{tmp_path}/b").count() == 3
 
 
@@ -122,7 +122,7 @@ def test_a_load_writes_every_table(spark, segment, dicts, tmp_path):
     xml = documents.build_xml(segments)
     raw = xml.select(messages.envelope(F.lit(messages.MESSAGE_TYPE), messages.encode_payload(F.col("value"))).alias("value"))
     raw = raw.unionAll(raw).unionAll(spark.createDataFrame([("MSGTYPEsplitX\nDATAsplitq",)], "value string"))
-    ingest.ingest_batch(raw, dicts, ingest.Settings(online_source=SHOP), str(tmp_path), LOAD)
+    ingest.ingest_batch(raw, dicts, ingest.Settings(online_source=SHOP), str(tmp_path), LOAD, "one")
     read = lambda n: spark.read.parquet(f"{tmp_path}/{n}")
     # The unresolved pack drops transaction 8 everywhere, the repeated message adds nothing.
     assert read("raw_bptransaction").count() == 2

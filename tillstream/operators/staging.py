@@ -102,13 +102,27 @@ def prepare(df: DataFrame, segment: str) -> DataFrame:
     return rules.get(segment, lambda x: x)(df)
 
 
+def fault(df: DataFrame) -> Column:
+    """Why a segment cannot be converted, null if it can."""
+    error = F.lit(None).cast("string")
+    if "discounttypecode" in df.columns and "discountreasoncode" in df.columns:
+        code = F.col("discounttypecode")
+        bad = code.isNotNull() & code.try_cast("int").isNull()
+        error = F.when(bad, "discount code is no number").otherwise(error)
+    for c in ("begindatetimestamp", "enddatetimestamp"):
+        if c in df.columns:
+            bad = F.coalesce(casts.timestamp_is_broken(F.col(c)), F.lit(False))
+            error = F.when(bad, "impossible timestamp").otherwise(error)
+    return error
+
+
 def broken_rows(df: DataFrame) -> DataFrame:
-    """Segments that cannot be converted: an impossible timestamp."""
-    stamps = [c for c in ("begindatetimestamp", "enddatetimestamp") if c in df.columns]
-    broken = F.lit(False)
-    for c in stamps:
-        broken = broken | F.coalesce(casts.timestamp_is_broken(F.col(c)), F.lit(False))
-    return df.where(broken).withColumn("error", F.lit("impossible timestamp"))
+    """Segments that cannot be converted, with the reason; the others are loaded."""
+    return df.withColumn("error", fault(df)).where("error is not null")
+
+
+def sound_rows(df: DataFrame) -> DataFrame:
+    return df.where(fault(df).isNull())
 
 
 def select_staged(raw: DataFrame, table: str) -> DataFrame:
@@ -200,7 +214,7 @@ def stage_movement_extensions(df: DataFrame) -> DataFrame:
 def stage_txn_discounts(df: DataFrame) -> DataFrame:
     """Discount type codes are stored 100 higher."""
     code = F.col("discounttypecode")
-    return df.withColumn("discounttypecode", (code.cast("int") + 100).cast("string"))
+    return df.withColumn("discounttypecode", (code.try_cast("int") + 100).cast("string"))
 
 
 def copy_operator(discounts: DataFrame, txns: DataFrame, keys: list[str] = TXN) -> DataFrame:
@@ -284,28 +298,35 @@ def apply_cert_party(tenders: DataFrame, extensions: DataFrame, scope: str = "tx
     """3108 becomes 3123 where a CERT_PARTY extension names RU02.
 
     ``scope`` is the transaction, the whole document, or (``tender``) the tender's
-    own extensions, which must then start with RU02.
+    own extensions.  With ``tender`` the first extension named exactly CERT_PARTY must
+    start with RU02 in any case, and only the first 3108 of a transaction changes.
     """
     keys = {
         "txn": TXN,
         "document": ["doc_id"],
         "tender": [*TXN, "tendersequencenumber"],
     }[scope]
-    party = F.col("fieldvalue")
-    named = party.startswith("RU02") if scope == "tender" else party.contains("RU02")
-    hits = (
-        extensions.where(F.col("fieldname").contains("CERT_PARTY") & named)
-        .select(*keys)
-        .distinct()
-        .withColumn("_party", F.lit(True))
-    )
+    party, name = F.col("fieldvalue"), F.col("fieldname")
+    if scope == "tender":
+        first_party = F.min_by(F.struct(party), "pos")["fieldvalue"].alias("fieldvalue")
+        found = extensions.where(name == "CERT_PARTY").groupBy(*keys).agg(first_party)
+        found = found.where(F.upper(party).startswith("RU02"))
+    else:
+        found = extensions.where(name.contains("CERT_PARTY") & party.contains("RU02"))
+    hits = found.select(*keys).distinct().withColumn("_party", F.lit(True))
     code = F.col("tendertypecode")
+    first = F.lit(True)
+    if scope == "tender":
+        firsts = tenders.where(code == "3108").groupBy(*TXN).agg(F.min("pos").alias("_first"))
+        tenders = tenders.join(firsts, TXN, "left")
+        first = F.col("pos") == F.col("_first")
     return (
         tenders.join(hits, keys, "left")
         .withColumn(
-            "tendertypecode", F.when(F.col("_party") & (code == "3108"), "3123").otherwise(code)
+            "tendertypecode",
+            F.when(F.col("_party") & (code == "3108") & first, "3123").otherwise(code),
         )
-        .drop("_party")
+        .drop("_party", "_first")
     )
 
 

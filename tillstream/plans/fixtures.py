@@ -8,6 +8,8 @@ or one join on the order key: work grows with the tables.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 SPARK = {
@@ -17,6 +19,8 @@ SPARK = {
     "ship_no": "datediff(cast(l_shipdate as date), date'1970-01-01')",
     "string": "string",
     "null_string": "cast(null as string)",
+    # Rows 0 and, where a condition holds, 1.
+    "copies": "explode(case when {} then array(0, 1) else array(0) end)",
 }
 DUCK = {
     "day": "strftime(o_orderdate, '%Y%m%d')",
@@ -25,6 +29,7 @@ DUCK = {
     "ship_no": "datediff('day', date '1970-01-01', cast(l_shipdate as date))",
     "string": "varchar",
     "null_string": "cast(null as varchar)",
+    "copies": "unnest(case when {} then [0, 1] else [0] end)",
 }
 
 _SECOND = "(o_orderkey * 37 % 86400)"
@@ -76,10 +81,17 @@ from {{orders}}""",
     # Originals, negated copies of the cancelled ones (type 2901), and one small
     # rounding line on a third of the returns.
     "items": f"""
-select {_BASE},
-  l_linenumber * 1000000000000 + l_partkey * 100 + [ship_no] % 100 as pos,
-  cast(l_linenumber as [string]) as retailsequencenumber,
-  case when l_returnflag = 'R' and l_linestatus = 'F' then '2901'
+with lines as (
+  select {_BASE}, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag,
+    l_linestatus, [ship_no] as ship_no, [ship_day] as ship_day,
+    [copies:l_returnflag = 'R' and l_linestatus = 'O'] as copy
+  from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey)
+select doc_id, retailstoreid, businessdaydate, transactiontypecode, workstationid,
+  transactionsequencenumber,
+  (l_linenumber + 100 * copy) * 1000000000000 + l_partkey * 100 + ship_no % 100 as pos,
+  cast(l_linenumber + 100 * copy as [string]) as retailsequencenumber,
+  case when copy = 1 then '2901'
+    when l_returnflag = 'R' and l_linestatus = 'F' then '2901'
     when l_returnflag = 'A' and l_linestatus = 'F' then '2006'
     when l_returnflag = 'A' and l_linenumber % 2 = 0 then '2020'
     when l_returnflag = 'N' and l_linestatus = 'F' and l_linenumber % 2 = 1 then '2010'
@@ -91,33 +103,14 @@ select {_BASE},
     when l_partkey % 10 = 0
       then cast(l_partkey as [string]) || 'UP' || cast(l_partkey % 7 + 1 as [string])
     else cast(l_partkey as [string]) end as itemid,
-  cast(l_quantity as decimal(32,3)) as retailquantity,
-  'PC' as salesunitofmeasure,
-  case when l_suppkey % 97 = 96 then cast(null as decimal(32,2))
-    else cast(l_extendedprice as decimal(32,2)) end as salesamount,
-  cast(cast(l_extendedprice as decimal(32,2)) as [string]) as normalsalesamount,
-  [ship_day] as batchid,
-  cast(l_suppkey as [string]) as serialnumber
-from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey
-union all
-select {_BASE},
-  (l_linenumber + 100) * 1000000000000 + l_partkey * 100 + [ship_no] % 100 as pos,
-  cast(l_linenumber + 100 as [string]) as retailsequencenumber,
-  '2901' as retailtypecode, '2' as itemidqualifier,
-  case when l_suppkey % 25 = 0 then [null_string]
-    when l_suppkey % 25 = 1 then 'S003147'
-    when l_partkey % 10 = 0
-      then cast(l_partkey as [string]) || 'UP' || cast(l_partkey % 7 + 1 as [string])
-    else cast(l_partkey as [string]) end as itemid,
-  cast(-l_quantity as decimal(32,3)) as retailquantity,
+  cast(l_quantity * (1 - 2 * copy) as decimal(32,3)) as retailquantity,
   'PC' as salesunitofmeasure,
   case when l_suppkey % 97 = 96 then cast(null as decimal(32,2))
-    else cast(-l_extendedprice as decimal(32,2)) end as salesamount,
-  cast(cast(-l_extendedprice as decimal(32,2)) as [string]) as normalsalesamount,
-  [ship_day] as batchid,
+    else cast(l_extendedprice * (1 - 2 * copy) as decimal(32,2)) end as salesamount,
+  cast(cast(l_extendedprice * (1 - 2 * copy) as decimal(32,2)) as [string]) as normalsalesamount,
+  ship_day as batchid,
   cast(l_suppkey as [string]) as serialnumber
-from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey
-where l_returnflag = 'R' and l_linestatus = 'O'
+from lines
 union all
 select {_BASE},
   900 * 1000000000000 as pos, '900' as retailsequencenumber,
@@ -157,17 +150,23 @@ from pay
 union all
 select doc_id, retailstoreid, businessdaydate, transactiontypecode, workstationid,
   transactionsequencenumber, cast(2 as bigint) as pos, '2' as tendersequencenumber,
-  case when o_orderkey % 2 = 0 then 'RET' else '3110' end as tendertypecode,
+  case when o_orderpriority = '1-URGENT' and o_orderkey % 4 = 1 then '3108'
+    when o_orderkey % 2 = 0 then 'RET' else '3110' end as tendertypecode,
   cast(1 as decimal(32,2)) as tenderamount, 'EUR' as tendercurrency,
   [null_string] as tenderid
 from pay where o_orderkey % 9 = 0""",
     "tender_ext": f"""
 select {_BASE}, cast(1 as bigint) as pos, '1' as tendersequencenumber,
   'CERTIFICATE' as fieldgroup, 'CERT_PARTY' as fieldname,
-  case o_orderkey % 3 when 0 then 'RU02' when 1 then 'RU06' else 'XX' end
-    || cast(o_custkey as [string]) as fieldvalue
+  case o_orderkey % 3 when 0 then case when o_orderkey % 5 = 0 then 'ru02' else 'RU02' end
+    when 1 then 'RU06' else 'XX' end || cast(o_custkey as [string]) as fieldvalue
 from {{orders}} where o_orderpriority in ('1-URGENT', '2-HIGH')
 union all
+select {_BASE}, cast(3 as bigint) as pos, '2' as tendersequencenumber,
+  'CERTIFICATE' as fieldgroup, 'CERT_PARTY' as fieldname,
+  'RU02' || cast(o_custkey as [string]) as fieldvalue
+from {{orders}} where o_orderpriority = '1-URGENT' and o_orderkey % 9 = 0
+union all
 select {_BASE}, cast(2 as bigint) as pos, '1' as tendersequencenumber,
   'CERTIFICATE' as fieldgroup, 'CERT_PRICE_LONG' as fieldname,
   case o_orderkey % 4 when 0 then cast(o_custkey as [string]) || '.0'
@@ -241,8 +240,7 @@ select {_BASE}, l_linenumber * 1000000000000 + l_partkey * 100 + [ship_no] % 100
   cast(l_suppkey % 90 as [string]) as discounttypecode,
   cast(cast(cast(l_extendedprice as decimal(32,2)) * cast(l_discount as decimal(32,2))
     as decimal(32,2)) as [string]) as reductionamount
-from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey
-where l_discount > 0.03""",
+from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey""",
     "txn_discounts": f"""
 select {_BASE}, o_orderkey as pos,
   cast(o_orderkey % 3 + 1 as [string]) as discountsequencenumber,
@@ -251,7 +249,7 @@ select {_BASE}, o_orderkey as pos,
   cast(cast(cast(o_totalprice as decimal(32,2)) * cast(0.01 as decimal(3,2))
     as decimal(32,2)) as [string]) as reductionamount,
   cast(o_custkey as [string]) as bonusbuyid
-from {{orders}} where o_orderkey % 4 = 0""",
+from {{orders}}""",
     "movements": f"""
 select {_BASE}, o_orderkey as pos,
   cast(o_orderkey % 3 + 1 as [string]) as financialsequencenumber,
@@ -262,13 +260,13 @@ select {_BASE}, o_orderkey as pos,
     else cast(cast(o_totalprice as decimal(32,2)) as [string]) end as amount,
   'EUR' as financialcurrency, 'EUR' as financialcurrency_iso,
   cast(o_orderkey as [string]) as refererenceid
-from {{orders}} where o_orderkey % 2 = 0""",
+from {{orders}}""",
     "movement_ext": f"""
 select {_BASE}, event_id as pos,
   cast(o_orderkey % 3 + 1 as [string]) as financialsequencenumber,
   'MOVEMENT' as fieldgroup, 'FIELD_' || event_type || '_NAME' as fieldname,
   props as fieldvalue
-from {{events}} join {{orders}} on event_id = o_orderkey where o_orderkey % 2 = 0""",
+from {{events}} join {{orders}} on event_id = o_orderkey""",
     # Pack dictionaries.  Some packs have no EAN, some have several.
     "marm": """
 select lpad(cast(p_partkey as [string]), 18, '0') as matnr, 'PAK' as meinh,
@@ -314,19 +312,12 @@ TABLES = ("orders", "lineitem", "events", "part", "supplier", "customer", "natio
 def _render(text: str, words: dict[str, str]) -> str:
     for key, value in words.items():
         text = text.replace(f"[{key}]", value)
-    return text
-
-
-# A table kept as one file is read by one task; its rows are spread by these keys.
-SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
+    return re.sub(r"\[copies:(.*?)\]", lambda m: words["copies"].format(m[1]), text)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table.  Tables of many files keep the partitioning of their files."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in SPREAD and len(df.inputFiles()) == 1:
-        return df.repartition(spark.sparkContext.defaultParallelism, SPREAD[name])
-    return df
+    """A given table, partitioned as its files are."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def from_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:

@@ -542,7 +542,15 @@ def j6_document(t):
 
 @register(
     "j6_cert_party_tender",
-    _cert_sql("doc_id, txn_key, tendersequencenumber", "starts_with(fieldvalue, 'RU02')"),
+    f"""{ctes('tenders', 'tender_ext')},
+p as (select doc_id, txn_key, tendersequencenumber, min_by(fieldvalue, pos) as party
+  from tender_ext where fieldname = 'CERT_PARTY' group by all),
+f as (select doc_id, txn_key, min(pos) as pos from tenders where tendertypecode = '3108' group by all)
+select transactionsequencenumber, tendersequencenumber,
+  case when tendertypecode = '3108' and starts_with(upper(p.party), 'RU02') and f.pos is not null
+    then '3123' else tendertypecode end as tendertypecode
+from tenders left join p using (doc_id, txn_key, tendersequencenumber)
+left join f using (doc_id, txn_key, pos)""",
 )
 def j6_tender(t):
     return _cert(t, "tender")

@@ -361,11 +361,13 @@ def s14(t):
 @register(
     "s9_targets",
     f"""{ctes(*_NAMES)}, {_TAGGED}
-select 'raw_' || lower(substr(segment_name, 3)) as target, cast(7 as bigint) as batch_id,
-  txn_key, count(*) as rows_stored from flat where segment_name <> 'E1UNKNOWN' group by all""",
+select 'raw_' || lower(substr(segment_name, 3)) as target, l.load_id,
+  txn_key, count(*) as rows_stored
+from flat cross join (values ('seven'), ('eight')) l(load_id)
+where segment_name <> 'E1UNKNOWN' group by all""",
 )
 def s9(t):
-    """One batch written to every target twice, as after a retry, and read back."""
+    """One load written to every target twice, as after a retry, and one of another id."""
     flat = _flat(t)
     base = tables.shared_dir(t.spark, "targets")
     routes = {
@@ -373,17 +375,17 @@ def s9(t):
         for s, table in schemas.RAW_TABLES.items()
         if s in _NAMES.values()
     }
-    for _ in range(2):
-        tables.write_targets(routes, 7, base, {"raw_bptender": 2})
+    for load_id in ("seven", "seven", "eight"):
+        tables.write_targets(routes, load_id, base)
     stored = [
         t.spark.read.parquet(f"{base}/{table}").select(
-            F.lit(table).alias("target"), F.col("batch_id").cast("bigint"), "txn_key"
+            F.lit(table).alias("target"), "load_id", "txn_key"
         )
         for table in routes
     ]
     return (
         synthetic.union_all(*stored)
-        .groupBy("target", "batch_id", "txn_key")
+        .groupBy("target", "load_id", "txn_key")
         .agg(F.count(F.lit(1)).alias("rows_stored"))
     )
 
@@ -737,4 +739,4 @@ def a14(t):
 def a14_xml(t):
     """The same documents as XML text."""
     docs = outbound.document_xml(outbound.build_documents(outbound_rows(t)))
-    return docs.select("rtl_txn_fin_rk", "part", "xml")
+    return docs.select("rtl_txn_fin_rk", "xml")

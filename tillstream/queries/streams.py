@@ -161,7 +161,7 @@ def t5(t):
     def write(batch, batch_id):
         batch = batch.persist()
         routes = {f"raw_{k}": batch.where(F.col("event_type") == k) for k in kinds}
-        tables.write_targets(routes, batch_id, base)
+        tables.write_targets(routes, f"fan-{batch_id}", base)
         batch.unpersist()
 
     run.drain(stream.writeStream.foreachBatch(write), t.spark)
@@ -257,7 +257,7 @@ def ingest_batch(t):
     raw = _message_table(t)
     base = tables.shared_dir(t.spark, "load")
     # The same messages twice: the repeats add nothing.
-    ingest.ingest_batch(raw.unionAll(raw), _dictionaries(t), SETTINGS, base, LOAD)
+    ingest.ingest_batch(raw.unionAll(raw), _dictionaries(t), SETTINGS, base, LOAD, "one")
     return t.spark.read.parquet(f"{base}/pst_bptender").select(*_TENDER_COLUMNS)
 
 
@@ -273,6 +273,6 @@ def ingest_stream(t):
         getattr(t, name).write.parquet(paths[name])
     base = tables.shared_dir(t.spark, "load")
     stream = tables.stream_table(t.spark, path, raw.schema)
-    writer = ingest.stream_writer(stream, tables.Dictionaries(t.spark, paths), SETTINGS, base)
+    writer = ingest.stream_writer(stream, tables.Dictionaries(t.spark, paths), SETTINGS, base, "live")
     run.drain(writer, t.spark)
     return t.spark.read.parquet(f"{base}/pst_bptender").select(*_TENDER_COLUMNS)

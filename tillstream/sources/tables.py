@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+import threading
 import time
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -17,33 +19,61 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory that every executor can reach.
 
     It lies under the folder the cluster names in ``spark.checkpoint.dir``.  Only a
-    local session that names none gets a folder of its own.
+    local session that names none gets a folder of its own.  What is left of it goes
+    with the session.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = os.path.join(os.path.abspath(os.curdir), "spark-warehouse", "shared")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    files, where = _file_system(spark, path)
+    files.deleteOnExit(where)
+    return path
+
+
+_open = threading.local()
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """Intermediate tables written inside are deleted at the end, also after an error."""
+    scopes = _open.__dict__.setdefault("scopes", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for path in scopes.pop():
+            delete(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
 
 
 def cut_lineage(df: DataFrame, by: str | None = None) -> DataFrame:
     """Write to the shared folder and read back: survives the loss of executors."""
     path = shared_dir(df.sparkSession, "stage")
+    if scopes := _open.__dict__.get("scopes"):
+        scopes[-1].append(path)
     writer = df.write if by is None else df.write.partitionBy(by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def scan(spark: SparkSession, path: str, columns: list[str], since: tuple | None = None) -> DataFrame:
-    """Projected scan with an optional lower bound; both are pushed to the files."""
-    df = spark.read.parquet(path)
-    if since is not None:
-        column, bound = since
-        df = df.where(F.col(column) >= bound)
-    return df.select(*columns)
-
-
 def stream_table(
     spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1000
 ) -> DataFrame:
@@ -59,40 +89,23 @@ def stream_table(
     return reader.parquet(path)
 
 
-def write_targets(
-    routes: dict[str, DataFrame],
-    batch_id: int,
-    base_path: str,
-    writers: dict[str, int] | None = None,
-) -> None:
+def write_targets(routes: dict[str, DataFrame], load_id: str, base_path: str) -> None:
     """Append each route to its own table directory.
 
-    A batch owns the ``batch_id=<n>`` folder of each table and overwrites it, so a
-    retried batch leaves the same rows.  Tables with a fixed number of writers are
-    spread over that many; the others are rebalanced to whole files.
+    A load owns the ``load_id=<id>`` folder of each table and replaces only that, so a
+    repeated load leaves the same rows and loads of other ids stay.  Rows are rebalanced
+    to whole files by size.
     """
 
     def write(table: str) -> None:
-        n = (writers or {}).get(table)
-        sized = routes[table].repartition(n) if n else routes[table].hint("rebalance")
-        sized.write.mode("overwrite").parquet(f"{base_path}/{table}/batch_id={batch_id}")
+        target = f"{base_path}/{table}/load_id={load_id}"
+        routes[table].hint("rebalance").write.mode("overwrite").parquet(target)
 
     # Small targets leave most of a cluster idle, so a few are written at a time.
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
         list(pool.map(write, routes))
 
 
-# Writers per target, by volume.
-WRITERS = {
-    "pst_bplineitemextensio": 3,
-    "pst_bptransactextensio": 3,
-    "pst_bpretaillineitem": 3,
-    "pst_bptenderextensions": 2,
-    "pst_bptransaction": 2,
-    "pst_bptender": 2,
-}
-
-
 class Dictionaries:
     """Dictionary tables, read again only when they changed.
 

@@ -9,24 +9,16 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tillstream.sources.tables import shared_dir
+from tillstream.sources.tables import delete, shared_dir
 from tillstream.streaming.dedup import ROCKSDB
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 @contextmanager
 def state_settings(spark: SparkSession):
-    """Queries started inside keep their state in RocksDB.
-
-    A local session gets no more state partitions than it has threads; on a cluster
-    the session's own number stands.
-    """
+    """Queries started inside keep their state in RocksDB; partitions are the session's."""
     wanted = {_PROVIDER: ROCKSDB}
-    if spark.sparkContext.master.startswith("local"):
-        threads = spark.sparkContext.defaultParallelism
-        wanted[_PARTITIONS] = str(min(threads, int(spark.conf.get(_PARTITIONS))))
     before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():
         spark.conf.set(name, value)
@@ -60,7 +52,8 @@ def drain(
 ) -> None:
     """Start, process all input, wait for ``done`` (timers need time to fire), stop."""
     with state_settings(spark):
-        query = writer.option("checkpointLocation", shared_dir(spark, "checkpoint")).start()
+        checkpoint = shared_dir(spark, "checkpoint")
+        query = writer.option("checkpointLocation", checkpoint).start()
         try:
             deadline = time.monotonic() + patience_s
             while not (_idle(query) and (done is None or done())):
@@ -71,6 +64,7 @@ def drain(
                 time.sleep(0.2)
         finally:
             query.stop()
+            delete(spark, checkpoint)
 
 
 def to_table(
