@@ -38,7 +38,7 @@ from tillstream.llm.common import quoted, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BLOCK = 8
+BLOCK = 4
 #: Bytes of item text that one index holds; larger benchmarks take more passes.
 PART_BYTES = 8 << 20
 #: Words of a text that are looked at together.
@@ -113,12 +113,13 @@ class Index:
             words = tokens(text or "")
             if words:
                 items.append(Item(item_id, words, shingles(words), *question_and_answer(text)))
-        # Items with like words next to each other give tighter block maxima.
-        items.sort(key=lambda i: (sorted(Counter(i.words), key=lambda w: (-len(w), w))[:1], i.words))
+        holding = Counter(w for i in items for w in set(i.words))
+        # Items that share their commonest words, so those of one language, and of like
+        # length next to each other give tighter block maxima.
+        items.sort(key=lambda i: (min(set(i.words), key=lambda w: (-holding[w], w)), len(i.words), i.words))
         index = cls(items)
         if not items:
             return index
-        holding = Counter(w for i in items for w in set(i.words))
         mean = sum(len(i.words) for i in items) / len(items)
         lists: dict[str, list[tuple[int, float]]] = defaultdict(list)
         for n, item in enumerate(items):
@@ -196,27 +197,28 @@ class Index:
     def _leaks(self, words: list[str], best: dict[int, tuple[float, float]]) -> None:
         unknown = len(self.terms)
         get = self.terms.get
-        ids = np.fromiter((get(w, unknown) for w in words), np.int32, len(words))
-        # Only known words move the sums, so they are taken over those alone.
+        ids = np.array([get(w, unknown) for w in words], np.int64)
         known = np.flatnonzero(ids != unknown)
         if not len(known):
             return
+        # A passage is two neighbouring pieces; each piece counts a word once.
         step = self.window // 2
-        sums = np.zeros((len(known) + 1, self.maxima.shape[1]), np.float32)
-        np.cumsum(self.maxima[ids[known]], axis=0, out=sums[1:])
-        starts = np.arange(0, max(1, len(words) - step), step)
-        low = np.searchsorted(known, starts)
-        high = np.searchsorted(known, starts + self.window)
-        # float32 sums over a stretch are off by far less than this.
-        reach = sums[high] - sums[low] + 0.01 * (1 + sums[-1].max() / 1000)
-        for w, block in zip(*np.nonzero(reach >= self.floors)):
-            held = ids[known[low[w] : high[w]]]
-            found = set(held.tolist())
-            if self.maxima[list(found), block].sum() < self.floors[block] - 1e-3:
-                continue  # repeated words had been counted more than once
+        held = np.unique(known // step * unknown + ids[known])
+        piece, term = np.divmod(held, unknown)
+        first = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
+        sums = np.zeros((max(2, -(-len(words) // step)), self.maxima.shape[1]), np.float32)
+        sums[piece[first]] = np.add.reduceat(self.maxima[term], first, axis=0)
+        reach = sums[:-1] + sums[1:]
+        # Sums of few float32 values are off by far less than the margin.
+        edges = np.searchsorted(piece, np.arange(len(sums) + 1))
+        for w, block in zip(*np.nonzero(reach >= self.floors - 0.01)):
+            here = term[edges[w] : edges[w + 2]]
+            found = set(here[self.maxima[here, block] > 0].tolist())
+            if self.maxima[list(found), block].sum() < self.floors[block] - 0.01:
+                continue  # words of both pieces had been counted twice
             hits = self.retrieve(found, int(block))
             if hits:
-                passage = words[starts[w] : starts[w] + self.window]
+                passage = words[w * step : w * step + self.window]
                 have, single = shingles(passage), set(passage)
                 for n, score in hits:
                     item = self.items[n]
