@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BASE = [
     "retailstoreid",
@@ -58,28 +56,22 @@ def with_txn_key(df: DataFrame) -> DataFrame:
     return df.withColumns({"txn_key": txn_key(), "txn5": txn5()})
 
 
-@F.arrow_udf(T.BinaryType())
-def _xxh64(texts: pa.Array) -> pa.Array:
-    # Spark's xxhash64() is seeded with 42; stored keys use seed 0, big-endian.
-    digest = xxhash.xxh64_digest
-    return pa.array(
-        [None if t is None else digest(t.encode("utf-8")) for t in texts.to_pylist()],
-        type=pa.binary(),
-    )
+def _xxh64(text: Column, seed: int = 0) -> Column:
+    """Spark's own XXH64 expression with another seed than the 42 of ``xxhash64()``."""
+    jvm = SparkSession.active().sparkContext._jvm
+    utils = jvm.org.apache.spark.sql.classic.ExpressionUtils
+    arguments = jvm.java.util.ArrayList()
+    arguments.add(utils.expression(text._jc))
+    arguments = jvm.org.apache.spark.api.python.PythonUtils.toSeq(arguments)
+    hashed = jvm.org.apache.spark.sql.catalyst.expressions.XxHash64(arguments, seed)
+    return Column(utils.column(hashed))
 
 
 def surrogate_key(cols: list[str | Column], nulls: str = "empty") -> Column:
     """XXH64 with seed 0 over the joined text, as 8 big-endian bytes."""
-    return _xxh64(joined(cols, nulls))
+    return F.unhex(F.lpad(F.hex(_xxh64(joined(cols, nulls))), 16, "0"))
 
 
 def with_surrogate_keys(df: DataFrame, names: list[str], nulls: str = "empty") -> DataFrame:
-    """Add the named keys in one projection, so one Arrow batch serves all of them."""
+    """Add the named keys in one projection."""
     return df.withColumns({n: surrogate_key(SURROGATE_KEYS[n], nulls) for n in names})
-
-
-def null_safe_join_condition(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond

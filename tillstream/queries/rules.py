@@ -579,16 +579,71 @@ def j9(t):
     return dictionaries.describe_source(t.txn_ext, t.export).select(*LINE, "fieldvalue")
 
 
-@register(
-    "j10_fix_flags",
-    f"""{ctes('tvarvc', 'transactions')},
-f as (select distinct low as flag from tvarvc where name = 'CHK_FIXES' and type = 'S')
-select flag, (select count(*) from transactions) as gated_transactions from f""",
-)
+_SWITCHED = f"""{ctes('transactions', 'items', 'tenders', 'txn_ext', 'tender_ext')},
+u as (select distinct doc_id, txn_key from items left join
+  (select doc_id, txn_key, sum(tenderamount) as paid from tenders group by all)
+  using (doc_id, txn_key) where coalesce(paid, 0) = 0),
+o as (select distinct doc_id, txn5 from txn_ext where fieldname = 'SOURCE' and fieldvalue = 'web.store'),
+p as (select doc_id, txn_key, tendersequencenumber, min_by(fieldvalue, pos) as party
+  from tender_ext where fieldname = 'CERT_PARTY' group by all),
+f as (select doc_id, txn_key, min(pos) as pos, true as first from tenders
+  where tendertypecode = '3108' group by all),
+c as (select t.* replace (case when tendertypecode = '3108' and starts_with(upper(party), 'RU02')
+    and first then '3123' else tendertypecode end as tendertypecode), party
+  from tenders t left join p using (doc_id, txn_key, tendersequencenumber)
+  left join f using (doc_id, txn_key, pos)),
+k as (select doc_id, txn_key, bool_or(tendertypecode = 'OPT') as opt,
+  min(pos) filter (tendertypecode = 'RET') as first_ret from c group by all)
+select 'off' as state, 'transaction' as kind, transactionsequencenumber, cast(0 as bigint) as pos,
+  transactiontypecode as value, workstationid as other from transactions
+union all select 'on', 'transaction', transactionsequencenumber, 0,
+  case when transactiontypecode = '1015' and u.doc_id is not null then '1014' else transactiontypecode end,
+  case when o.doc_id is not null then '0000001002' else workstationid end
+from transactions left join u using (doc_id, txn_key) left join o using (doc_id, txn5)
+union all select 'off', 'item', transactionsequencenumber, pos, itemid, null from items
+union all select 'on', 'item', transactionsequencenumber, pos,
+  case when transactiontypecode = '1015' and coalesce(itemid, '') = '' then 'S001332' else itemid end, null
+from items
+union all select 'off', 'tender', transactionsequencenumber, pos, tendertypecode, null from tenders
+union all select 'on', 'tender', transactionsequencenumber, pos, case
+  when transactiontypecode <> '1001' then tendertypecode
+  when tendertypecode = 'OPT' and upper(party) like 'RU02%' then '3123'
+  when tendertypecode = 'OPT' and upper(party) like 'RU06%' then '3108'
+  when not coalesce(opt, false) and tendertypecode = 'RET' and pos = first_ret then '3110'
+  else tendertypecode end, null
+from c left join k using (doc_id, txn_key)"""
+
+
+@register("j10_switched_rules", _SWITCHED)
 def j10(t):
-    """The switches, with the number of transactions they gate."""
-    gated = t.transactions.agg(F.count(F.lit(1))).scalar()
-    return dictionaries.fix_flags(t.tvarvc).withColumn("gated_transactions", gated)
+    """The enterprise rules over all rows, once with their switches off and once on."""
+    rules = (erp.CASHOUT, erp.ONLINE, erp.CERTIFICATE, erp.EMPTY_LINE, erp.TENDER_CODES)
+    more = t.tvarvc.limit(1).select(
+        F.lit("CHK_FIXES").alias("name"),
+        F.lit("S").alias("type"),
+        F.explode(F.array(*[F.lit(r) for r in rules])).alias("low"),
+    )
+    out = None
+    for state, flags in (("off", t.tvarvc), ("on", t.tvarvc.unionByName(more))):
+        txns = erp.switched_transactions(
+            t.transactions, t.items, t.tenders, t.txn_ext, flags, "web.store"
+        )
+        rows = [
+            ("transaction", txns.withColumn("pos", F.lit(0).cast("bigint")), "transactiontypecode", "workstationid"),
+            ("item", erp.switched_items(t.items, flags), "itemid", None),
+            ("tender", erp.switched_tenders(t.tenders, t.items, t.tender_ext, flags), "tendertypecode", None),
+        ]
+        for kind, df, value, other in rows:
+            shown = df.select(
+                F.lit(state).alias("state"),
+                F.lit(kind).alias("kind"),
+                "transactionsequencenumber",
+                "pos",
+                F.col(value).alias("value"),
+                (F.col(other) if other else F.lit(None).cast("string")).alias("other"),
+            )
+            out = shown if out is None else out.unionByName(shown)
+    return out
 
 
 # --- movements ---------------------------------------------------------------------
@@ -685,8 +740,8 @@ c as (select doc_id, txn_key, tendersequencenumber, min_by(fieldvalue, pos) as p
   from tender_ext where fieldname = 'CERT_PARTY' group by all)
 select transactionsequencenumber, tendersequencenumber, case
   when transactiontypecode <> '1001' then tendertypecode
-  when tendertypecode = 'OPT' and party like 'RU02%' then '3123'
-  when tendertypecode = 'OPT' and party like 'RU06%' then '3108'
+  when tendertypecode = 'OPT' and upper(party) like 'RU02%' then '3123'
+  when tendertypecode = 'OPT' and upper(party) like 'RU06%' then '3108'
   when not opt and tendertypecode = 'RET' and pos = first_ret then '3110'
   else tendertypecode end as tendertypecode
 from tenders left join k using (doc_id, txn_key)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tillstream.functions import casts, keys, text
 from tillstream.operators import staging
@@ -45,9 +45,23 @@ def p3(t):
     )
 
 
-@register("p4_surrogate_keys")
+_FACTS = """select retailstoreid, businessdaydate, workstationid, transactionsequencenumber,
+  retailsequencenumber, '1' as financialsequencenumber, '1' as discountsequencenumber,
+  cast(null as varchar) as taxsequencenumber, '1' as tendersequencenumber from items"""
+
+
+def _joined_sql(parts: list[str]) -> str:
+    return " || '|' || ".join(f"coalesce({p}, '')" for p in parts)
+
+
+@register(
+    "p4_surrogate_keys",
+    f"{ctes('items')}, f as ({_FACTS}) select transactionsequencenumber, "
+    + ", ".join(f"count(distinct {_joined_sql(v)}) as {k}" for k, v in keys.SURROGATE_KEYS.items())
+    + " from f group by all",
+)
 def p4(t):
-    """All seven hashed keys; the checking database has no XXH64."""
+    """Distinct values of all seven hashed keys: as many as distinct texts under them."""
     facts = t.items.select(*keys.TXN_PARTS, "retailsequencenumber").withColumns(
         {
             "financialsequencenumber": F.lit("1"),
@@ -57,22 +71,32 @@ def p4(t):
         }
     )
     hashed = keys.with_surrogate_keys(facts, list(keys.SURROGATE_KEYS))
-    return hashed.select(
-        "transactionsequencenumber",
-        "retailsequencenumber",
-        *[F.hex(k).alias(k) for k in keys.SURROGATE_KEYS],
+    return hashed.groupBy("transactionsequencenumber").agg(
+        *[F.size(F.collect_set(k)).cast("bigint").alias(k) for k in keys.SURROGATE_KEYS]
     )
 
 
-@register("p5_sql_surrogate_keys")
+@register(
+    "p5_sql_surrogate_keys",
+    f"""{ctes('txn_ext')},
+j as (select *, concat_ws('|', retailstoreid, businessdaydate, workstationid,
+    transactionsequencenumber, transactiontypecode) as skipping,
+  {_joined_sql([*keys.TXN_PARTS, 'transactiontypecode'])} as keeping from txn_ext)
+select transactionsequencenumber, pos, skipping = keeping as same,
+  count(distinct skipping) over (partition by transactionsequencenumber) as skipping_keys
+from j""",
+)
 def p5(t):
-    """Null-skipping keys, next to the null-as-empty ones."""
-    d = t.txn_ext.select("doc_id", "transactiontypecode", *keys.TXN_PARTS)
+    """Null-skipping keys differ from null-as-empty ones exactly where a part is null."""
+    d = t.txn_ext.select("pos", "transactiontypecode", *keys.TXN_PARTS)
     parts = [*keys.TXN_PARTS, "transactiontypecode"]
-    return d.select(
+    skipping = keys.surrogate_key(parts, "skip")
+    own = Window.partitionBy("transactionsequencenumber")
+    return d.withColumn("skipping", skipping).select(
         "transactionsequencenumber",
-        F.hex(keys.surrogate_key(parts, "skip")).alias("skipping"),
-        F.hex(keys.surrogate_key(parts)).alias("keeping"),
+        "pos",
+        (F.col("skipping") == keys.surrogate_key(parts)).alias("same"),
+        F.size(F.collect_set("skipping").over(own)).cast("bigint").alias("skipping_keys"),
     )
 
 

@@ -190,8 +190,11 @@ def t6(t):
 SETTINGS = ingest.Settings(online_source=ONLINE)
 
 
-def _message_table(t: Tables):
-    """Encoded messages holding the transactions with lines, tenders, extensions and movements."""
+def _message_table(t: Tables, **changed):
+    """Encoded messages of the transactions with their lines, tenders, extensions, movements.
+
+    Segments given by name replace the derived ones.
+    """
     segments = {
         "E1BPTRANSACTION": t.transactions,
         "E1BPRETAILLINEITEM": t.items,
@@ -200,10 +203,13 @@ def _message_table(t: Tables):
         "E1BPTRANSACTEXTENSIO": t.txn_ext,
         "E1BPFINANCIALMOVEMEN": t.movements,
     }
-    xml = documents.build_xml(segments)
+    xml = documents.build_xml(segments | changed)
     payload = messages.encode_payload(F.col("value"))
     return tables.cut_lineage(
-        xml.select(messages.envelope(F.lit(messages.MESSAGE_TYPE), payload).alias("value"))
+        xml.select(
+            F.col("doc_id").alias("document"),
+            messages.envelope(F.lit(messages.MESSAGE_TYPE), payload).alias("value"),
+        )
     )
 
 
@@ -254,17 +260,101 @@ _TENDER_COLUMNS = [
 @register("ingest_batch_tenders", _LOADED_TENDERS)
 def ingest_batch(t):
     """A whole load from encoded messages; shown are its staged tenders."""
-    raw = _message_table(t)
+    raw = _message_table(t).drop("document")
     base = tables.shared_dir(t.spark, "load")
     # The same messages twice: the repeats add nothing.
     ingest.ingest_batch(raw.unionAll(raw), _dictionaries(t), SETTINGS, base, LOAD, "one")
     return t.spark.read.parquet(f"{base}/pst_bptender").select(*_TENDER_COLUMNS)
 
 
+@register(
+    "ingest_two_loads",
+    f"""{ctes('transactions', 'items', 'marm', 'mean')},
+eans as (select distinct matnr, umrez from marm join mean using (matnr, meinh)
+  where lfnum = '00001' and ean11 <> ''),
+bad as (select distinct doc_id, txn_key from items left join eans
+  on matnr = lpad(split_part(itemid, 'UP', 1), 18, '0') and umrez = split_part(itemid, 'UP', 2)
+  where contains(itemid, 'UP') and eans.matnr is null)
+select case doc_id % 2 when 0 then 'even' else 'odd' end as load_id, transactionsequencenumber
+from transactions where (doc_id, txn_key) not in (select doc_id, txn_key from bad)""",
+)
+def ingest_two_loads(t):
+    """Loads of different rows stay beside each other; one repeated leaves the same rows."""
+    raw = _message_table(t)
+    base = tables.shared_dir(t.spark, "load")
+    even, odd = raw.where("document % 2 = 0"), raw.where("document % 2 <> 0")
+    for load_id, part in (("even", even), ("odd", odd), ("odd", odd)):
+        ingest.ingest_batch(part.drop("document"), _dictionaries(t), SETTINGS, base, LOAD, load_id)
+    return t.spark.read.parquet(f"{base}/raw_bptransaction").select(
+        "load_id", "transactionsequencenumber"
+    )
+
+
+_RESENT = f"""{ctes('transactions', 'items', 'txn_discounts', 'marm', 'mean')},
+eans as (select distinct matnr, umrez from marm join mean using (matnr, meinh)
+  where lfnum = '00001' and ean11 <> ''),
+packs as (select doc_id, txn_key, transactionsequencenumber, pos,
+    lpad(split_part(itemid, 'UP', 1), 18, '0') as matnr, split_part(itemid, 'UP', 2) as umrez
+  from items where contains(itemid, 'UP')),
+bad as (select distinct doc_id, txn_key from packs left join eans using (matnr, umrez)
+  where eans.matnr is null),
+d as (select *, doc_id % 5 = 0 and discounttypecode is not null as damaged from txn_discounts)
+select 'transaction' as kind, transactionsequencenumber, count(*) as found, null as matnr, null as umrez
+from transactions group by all
+union all select 'damaged', transactionsequencenumber, 2 * count(*), null, null from d where damaged group by all
+union all select 'discount', transactionsequencenumber, count(*), null, null from d where not damaged group by all
+union all select 'pack', transactionsequencenumber, count(*), matnr, umrez
+from packs where (doc_id, txn_key) not in (select doc_id, txn_key from bad) group by all"""
+
+
+@register("ingest_resent", _RESENT)
+def ingest_resent(t):
+    """Everything is sent twice, the second time without packs, and with some damaged codes.
+
+    Transactions dropped for an unresolved pack come from the second sending; damaged
+    discounts of both go to the quarantine and nothing else of their transactions does.
+    """
+    code = F.col("discounttypecode")
+    damaged = t.txn_discounts.withColumn(
+        "discounttypecode", F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("x"), code)).otherwise(code)
+    )
+    plain = t.items.withColumn("itemid", F.replace("itemid", F.lit("UP"), F.lit("-")))
+    first = _message_table(t, E1BPTRANSACTIONDISCO=damaged)
+    second = _message_table(t, E1BPTRANSACTIONDISCO=damaged, E1BPRETAILLINEITEM=plain)
+    base = tables.shared_dir(t.spark, "load")
+    raw = first.unionAll(second).drop("document")
+    ingest.ingest_batch(raw, _dictionaries(t), SETTINGS, base, LOAD, "one")
+
+    def stored(name, kind, *more):
+        none = F.lit(None).cast("string")
+        columns = [F.col(m) for m in more] or [none, none]
+        df = t.spark.read.parquet(f"{base}/{name}")
+        if name == "quarantine_segments":
+            key = F.get_json_object("fields", "$.transactionsequencenumber")
+            df = df.withColumn("transactionsequencenumber", key)
+        return df.select(
+            F.lit(kind).alias("kind"),
+            "transactionsequencenumber",
+            columns[0].alias("matnr"),
+            columns[1].alias("umrez"),
+        )
+
+    lines = stored("raw_bpretaillineitem", "pack", "matnr_padded", "umrez_val")
+    rows = (
+        stored("raw_bptransaction", "transaction")
+        .unionByName(stored("quarantine_segments", "damaged"))
+        .unionByName(stored("raw_bptransactiondisco", "discount"))
+        .unionByName(lines.where("matnr is not null"))
+    )
+    return rows.groupBy("kind", "transactionsequencenumber", "matnr", "umrez").agg(
+        F.count(F.lit(1)).alias("found")
+    )
+
+
 @register("ingest_stream_tenders", _LOADED_TENDERS)
 def ingest_stream(t):
     """The same load as a stream through the stateful dedup."""
-    raw = _message_table(t)
+    raw = _message_table(t).drop("document")
     path = tables.shared_dir(t.spark, "messages")
     raw.unionAll(raw).write.parquet(path)
     paths = {}
