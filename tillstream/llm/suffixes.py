@@ -38,9 +38,11 @@ LENGTH = 400
 GRAM = 200
 REACH = LENGTH - GRAM
 #: Contexts of one string that are compared in one task.
-GROUP = 16_384
+GROUP = 65_536
 #: Bytes of a text whose hashes are taken together.
 STRETCH = 1 << 20
+#: Contexts sent on at a time.
+CONTEXTS = 10_000
 #: Groups up to this size are compared pair by pair.
 PAIRWISE = 12
 
@@ -378,18 +380,25 @@ def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
         for batch in batches:
             out = []
-            for i, (text, places) in enumerate(zip(texts_as_bytes(batch), batch.column(3).to_pylist())):
-                for p in places:
-                    at = p["start"]
-                    out.append((p["key"], p["ctx"], i, at, text[max(0, at - REACH) : at], text[at : at + LENGTH]))
-            if out:
+
+            def table(batch=batch):
                 key, ctx, row, at, before, after = zip(*out)
                 rows = pa.array(row)
-                yield _table(
+                return _table(
                     list(key), list(ctx), batch.column(0).take(rows), batch.column(2).take(rows),
                     pa.array(at, pa.int32()), pa.array(before, pa.binary()), pa.array(after, pa.binary()),
                 )
 
+            for i, text in enumerate(texts_as_bytes(batch)):
+                for p in batch.column(3)[i].as_py():
+                    at = p["start"]
+                    out.append((p["key"], p["ctx"], i, at, text[max(0, at - REACH) : at], text[at : at + LENGTH]))
+                if len(out) >= CONTEXTS:
+                    yield table()
+                    out.clear()
+            if out:
+                yield table()
+
     schema = f"key long, ctx long, doc_id {id_type}, hash long, at int, before binary, after binary"
     return found.select("doc_id", "text", "hash", "places").mapInArrow(run, schema)
 
@@ -468,22 +477,24 @@ def counted(large: DataFrame) -> DataFrame:
         from xxhash import xxh64_intdigest
 
         for batch in batches:
-            names = ("doc_id", "hash", "start", "before", "after", "ctx")
-            out = []
-            for doc, h, at, before, after, ctx in zip(
-                *[batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
-            ):
-                text, low = before + after, len(before)
-                for s in range(0, len(text) - LENGTH + 1):
-                    if s <= low:
-                        string = text[s : s + LENGTH]
-                        a, b = xxh64_intdigest(string, 1), xxh64_intdigest(string, 2)
-                        out.append((a - (1 << 63), b - (1 << 63), ctx, doc, h, at - low + s))
-            if out:
-                yield _table(*[pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 3 + [batch.schema.field("doc_id").type, pa.int64(), pa.int32()])])
-
+            kinds = [pa.int64(), pa.int64(), batch.schema.field("doc_id").type, pa.int64(), pa.int32()]
+            for i in range(batch.num_rows):
+                row = {n: batch.column(n)[i].as_py() for n in names}
+                text, low = row["before"] + row["after"], len(row["before"])
+                # One context's strings at a time: a batch of contexts makes very many.
+                out = []
+                for s in range(min(low, len(text) - LENGTH) + 1):
+                    string = text[s : s + LENGTH]
+                    a, b = xxh64_intdigest(string, 1), xxh64_intdigest(string, 2)
+                    out.append((a - (1 << 63), b - (1 << 63), row["doc_id"], row["hash"], row["start"] - low + s))
+                if out:
+                    yield _table(*[pa.array(c, t) for c, t in zip(zip(*out), kinds)])
+
+    names = ("doc_id", "hash", "start", "before", "after")
     strings = stored(
-        large.dropDuplicates(["key", "ctx"]).mapInArrow(run, f"a long, b long, ctx long, doc_id {id_type}, hash long, start int"),
+        large.dropDuplicates(["key", "ctx"])
+        .select(*names)
+        .mapInArrow(run, f"a long, b long, doc_id {id_type}, hash long, start int"),
         "frequent-strings",
     )
     # Contexts overlap, so one string can come from several; two places are needed.
