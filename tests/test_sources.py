@@ -1,5 +1,7 @@
 from datetime import datetime
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,6 +105,11 @@ def dicts(spark):
     }
 
 
+def stage_folders(spark):
+    """Intermediate tables there are; a load must leave none."""
+    return {p for p in os.listdir(spark.conf.get("spark.checkpoint.dir")) if p.startswith("stage-")}
+
+
 def test_a_load_writes_every_table(spark, segment, dicts, tmp_path):
     """Two transactions merge under the online workstation; corrections still see two."""
     shop = {"fieldname": "SOURCE", "fieldvalue": SHOP}
@@ -122,7 +129,11 @@ def test_a_load_writes_every_table(spark, segment, dicts, tmp_path):
     xml = documents.build_xml(segments)
     raw = xml.select(messages.envelope(F.lit(messages.MESSAGE_TYPE), messages.encode_payload(F.col("value"))).alias("value"))
     raw = raw.unionAll(raw).unionAll(spark.createDataFrame([("MSGTYPEsplitX\nDATAsplitq",)], "value string"))
-    ingest.ingest_batch(raw, dicts, ingest.Settings(online_source=SHOP), str(tmp_path), LOAD, "one")
+    before = stage_folders(spark)
+    counts = ingest.ingest_batch(raw, dicts, ingest.Settings(online_source=SHOP), str(tmp_path), LOAD, "one")
+    # Both sendings are read; of the three transactions two are loaded, merged under one key.
+    assert counts == {"segments": 22, "transactions": 1}
+    assert stage_folders(spark) == before
     read = lambda n: spark.read.parquet(f"{tmp_path}/{n}")
     # The unresolved pack drops transaction 8 everywhere, the repeated message adds nothing.
     assert read("raw_bptransaction").count() == 2
@@ -137,3 +148,48 @@ def test_a_load_writes_every_table(spark, segment, dicts, tmp_path):
     assert [r.error for r in read("quarantine").collect()] == ["wrong message type"]
     key = read("raw_bptransaction").first()
     assert len(key.rtl_txn_rk) == 8 and key.load_ts == LOAD
+
+
+def test_a_damaged_code_and_a_resend_after_an_unresolved_pack(spark, segment, dicts, tmp_path):
+    def message(item, code):
+        segments = {
+            "E1BPTRANSACTION": segment([{"operatorid": "9"}]),
+            "E1BPRETAILLINEITEM": segment([{"retailtypecode": "2001", "itemid": item, "retailquantity": "1",
+                                            "salesamount": "5", "retailsequencenumber": "1"}]),
+            "E1BPTRANSACTIONDISCO": segment([{"discounttypecode": code, "discountsequencenumber": "1"},
+                                             {"discounttypecode": "7", "discountsequencenumber": "2"}]),
+        }
+        xml = documents.build_xml(segments)
+        payload = messages.encode_payload(F.col("value"))
+        return xml.select(messages.envelope(F.lit(messages.MESSAGE_TYPE), payload).alias("value"))
+
+    settings, base = ingest.Settings(online_source=SHOP), str(tmp_path / "load")
+    path = str(tmp_path / "in")
+    spark.createDataFrame([], "value string").write.parquet(path)
+    paths = {}
+    for name, df in dicts.items():
+        paths[name] = str(tmp_path / name)
+        df.write.parquet(paths[name])
+    stream = tables.stream_table(spark, path, message("A", "5").schema)
+    checkpoint = str(tmp_path / "checkpoint")
+
+    def arrive(*sent):
+        for raw in sent:
+            raw.write.mode("append").parquet(path)
+        writer = ingest.stream_writer(stream, tables.Dictionaries(spark, paths), settings, base, "live")
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+
+    def stored(name):
+        return spark.read.parquet(f"{base}/{name}")
+
+    before = stage_folders(spark)
+    arrive(message("9UP9", "x1"))  # no such pack: dropped, and not seen
+    assert stored("raw_bptransaction").count() == 0
+    arrive(message("A", "x1"))  # sent again with a good item, still with a damaged code
+    assert stored("raw_bptransaction").count() == 1
+    arrive(message("A", "5"))  # a repeat of a loaded key adds nothing
+    assert stored("raw_bptransaction").count() == 1
+    assert [r.discounttypecode for r in stored("raw_bptransactiondisco").collect()] == ["107"]
+    assert {r.error for r in stored("quarantine_segments").collect()} == {"discount code is no number"}
+    assert stage_folders(spark) == before

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tillstream.functions import casts, text
 from tillstream.functions.keys import SURROGATE_KEYS, TXN, surrogate_key
 from tillstream.operators.cancel import line_key
-from tillstream.operators.corrections import is_receipt
 from tillstream.plans.schemas import LOAD_COLUMNS, RAW_TABLES, STAGED_COLUMNS, raw_schema
 
 # Fixed values of the item rules.
@@ -362,7 +361,3 @@ def stage_movements(movements: DataFrame, notes: DataFrame, keys: list[str] = TX
         )
         .drop("note")
     )
-
-
-def receipts_only(df: DataFrame) -> DataFrame:
-    return df.where(is_receipt(F.col("transactiontypecode")))

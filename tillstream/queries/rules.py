@@ -366,6 +366,47 @@ def j13_marked(t):
     return cancel.cancel_items(_crowd(t.items), t.item_ext).select(*LINE, "retailtypecode")
 
 
+@register(
+    "j13_cancelled_enterprise",
+    f"""{ctes('items', 'item_ext', recursive=True)},
+{_CROWD.replace('retailsequencenumber % 2', 'cast(retailsequencenumber as int) % 2')},
+marks as (select doc_id, txn5, retailsequencenumber,
+    string_agg(case when fieldgroup = 'TAX' then fieldvalue end, '' order by pos, fieldvalue) as tax,
+    max_by(fieldvalue, struct_pack(pos := pos, v := fieldvalue)) filter (fieldname = 'DATAMATRIX') as last_code,
+    min_by(fieldvalue, struct_pack(pos := pos, v := fieldvalue)) filter (fieldname = 'DATAMATRIX') as first_code
+  from item_ext where fieldgroup = 'TAX' or fieldname = 'DATAMATRIX' group by all),
+m as (select crowd.*, coalesce(tax, '') as tax,
+    coalesce(case when retailtypecode = '2901' then last_code else first_code end, '') as code
+  from crowd left join marks using (doc_id, txn5, retailsequencenumber)),
+grp as (select doc_id, txn5, itemid,
+    list(struct_pack(pos := pos, tax := tax, code := code) order by pos)
+      filter (retailtypecode = '2901') as asks,
+    list(struct_pack(pos := pos, tax := tax, code := code) order by pos)
+      filter (retailtypecode = '2001') as sold
+  from m group by all having asks is not null and sold is not null),
+step as (
+  select doc_id, txn5, itemid, asks, sold as free, cast([] as bigint[]) as taken, 1 as k from grp
+  union all
+  select doc_id, txn5, itemid, asks,
+    list_filter(free, lambda x: x.pos is distinct from one and x.pos is distinct from two),
+    list_concat(taken, list_filter([one, two], lambda y: y is not null)), k + 1
+  from (select *, case when one_tax is null and two_code is null then free[1].pos else one_tax end as one,
+      two_code as two
+    from (select *, list_filter(free, lambda x: asks[k].code <> '' and x.code = asks[k].code
+        and x.pos is distinct from one_tax)[1].pos as two_code
+      from (select *, list_filter(free, lambda x: asks[k].tax <> '' and x.tax = asks[k].tax)[1].pos as one_tax
+        from step where k <= len(asks))))),
+hit as (select doc_id, txn5, unnest(taken) as pos from step
+  qualify row_number() over (partition by doc_id, txn5, itemid order by k desc) = 1)
+select transactionsequencenumber, crowd.pos,
+  case when hit.pos is null then retailtypecode else '2902' end as retailtypecode
+from crowd left join hit using (doc_id, txn5, pos)""",
+)
+def j13_enterprise(t):
+    """Both marks may claim, and a sold line is known by its first code."""
+    return cancel.cancel_items(_crowd(t.items), t.item_ext, "enterprise").select(*LINE, "retailtypecode")
+
+
 @register(
     "a9_line_marks",
     f"""{ctes('item_ext')}, {_MARKS}
