@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 from helpers import prose  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, shard string, fp string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, shard string, fp string, hash string"
 
 
 def awkward_rows():
@@ -23,13 +23,13 @@ def awkward_rows():
         prose(4, 120), prose(4, 120) + " more", "<|im_end|> ***",
     ]
     rows = [
-        (i, t, "en", None if i % 7 == 0 else f"s{i % 4}", None if t is None else len(t), "x", "y", "z")
+        (i, t, "en", None if i % 7 == 0 else f"s{i % 4}", None if t is None else len(t), "x", "y", "z", "h")
         for i, t in enumerate(texts)
     ]
-    rows.append((None, prose(5, 90), None, None, None, None, None, None))
-    rows.append((None, None, None, None, None, None, None, None))
+    rows.append((None, prose(5, 90), None, None, None, None, None, None, None))
+    rows.append((None,) * 9)
     rows += [rows[5], rows[16], rows[16]]  # repeated rows
-    rows.append((16, prose(6, 70), "fr", "s1", 1, "x", "y", "z"))  # an id with two texts
+    rows.append((16, prose(6, 70), "fr", "s1", 1, "x", "y", "z", "h"))  # an id with two texts
     return rows
 
 

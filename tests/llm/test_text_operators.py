@@ -359,6 +359,12 @@ def test_frequent_strings_are_compared_exactly(passages):
     assert cut_rows(passages, group=3) == Counter(brute_cut(texts_of(passages)))
 
 
+def test_cut_keeps_other_columns(awkward):
+    out = suffixes.cut(awkward)
+    assert out.columns == [*awkward.columns, "removed", "kept"]
+    assert {r["hash"] for r in out.collect()} == {"h", None}
+
+
 def test_cut_of_nothing(empty):
     assert suffixes.cut(empty).collect() == []
 

@@ -533,15 +533,15 @@ def cut(docs: DataFrame, group: int = GROUP) -> DataFrame:
     Adds ``removed`` (sorted byte spans) and ``kept`` (the remaining bytes).
     """
     docs = docs.select(*quoted(without(docs, "removed", "kept")))
-    marked = docs.withColumn("hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    narrow = marked.select("doc_id", "text", "hash")
+    marked = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    narrow = marked.select("doc_id", "text", F.col("_text_hash").alias("hash"))
     spans = (
         repeats(narrow, group)
         .groupBy(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"))
         .agg(F.collect_set(F.struct("start", "stop")).alias("_spans"))
     )
     both = marked.join(
-        spans, marked["doc_id"].eqNullSafe(F.col("_id")) & (marked["hash"] == F.col("_hash")), "left"
+        spans, marked["doc_id"].eqNullSafe(F.col("_id")) & (marked["_text_hash"] == F.col("_hash")), "left"
     )
     names = docs.columns
 
