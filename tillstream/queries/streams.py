@@ -19,11 +19,20 @@ def _events(t: Tables):
     return t.table("events")
 
 
-def _live(t: Tables):
-    """Events as a stream of bundles with a transaction key."""
-    path = f"{t.sf_dir.rstrip('/')}/events.parquet"
-    stream = tables.stream_table(t.spark, path, _events(t).schema)
-    return _keyed(stream)
+PARTS = 3
+
+
+def _live(t: Tables, parts: int = PARTS):
+    """Events as a stream of bundles with a transaction key, in several micro-batches.
+
+    The files hold ascending ranges of ids and are written one after the other.
+    """
+    path, events = tables.shared_dir(t.spark, "live"), _events(t)
+    step = (events.agg(F.max("event_id")).first()[0] or 0) // parts + 1
+    for part in range(parts):
+        rows = events.where(F.floor(F.col("event_id") / step) == part)
+        rows.coalesce(1).write.mode("append").parquet(path)
+    return _keyed(tables.stream_table(t.spark, path, events.schema, max_files=1))
 
 
 def _keyed(df):
@@ -94,7 +103,8 @@ def t1_batch(t):
 
 @register("t1_dedup_event_time", f"select distinct {_LIVE} from events")
 def t1_event_time(t):
-    return run.to_table(dedup.dedup_event_time(_live(t), "ts").select("txn_key"))
+    # One micro-batch: how soon a watermark forgets a key depends on their number.
+    return run.to_table(dedup.dedup_event_time(_live(t, 1), "ts").select("txn_key"))
 
 
 _SEEN = f"""with e as (select {_LIVE}, ts, event_id from events),
@@ -114,10 +124,22 @@ def t2(t):
     return run.to_table(stream).select("txn_key", "event_id")
 
 
-@register("t3_dedup_preloaded", _SEEN)
+@register(
+    "t3_dedup_preloaded",
+    f"""with e as (select {_LIVE}, ts, event_id,
+  event_id // (select max(event_id) // {PARTS} + 1 from events) as part from events),
+seen as (select distinct txn_key from e where ts < timestamp '2024-01-03'),
+first as (select txn_key, min(part) as part from e where txn_key in (select txn_key from seen) group by all)
+select txn_key, min(event_id) as event_id from e
+where (txn_key, part) not in (select txn_key, part from first) group by txn_key, part""",
+)
 def t3(t):
-    """A preloaded key is dropped once, and is an ordinary seen key from then on."""
-    stream = dedup.dedup_stream(_live(t), "event_id", initial=_seen(t), preloaded=True)
+    """A preloaded key has no lifetime until it is dropped, once, by its first bundle.
+
+    The lifetime is shorter than a micro-batch here, so each one starts anew: stored keys
+    lose their first micro-batch, and every other one gives its first bundle.
+    """
+    stream = dedup.dedup_stream(_live(t), "event_id", 1, initial=_seen(t), preloaded=True)
     return run.to_table(stream).select("txn_key", "event_id")
 
 
