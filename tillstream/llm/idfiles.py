@@ -13,6 +13,7 @@ by the text's hash; repeated rows follow each other.  An empty table gives an em
 
 from __future__ import annotations
 
+from itertools import chain, islice
 from zlib import crc32
 
 import numpy as np
@@ -23,7 +24,9 @@ from tillstream.llm.common import texts_as_bytes
 
 FRAME = 1 << 15
 #: Words a worker remembers the ids of.
-REMEMBERED = 1 << 21
+REMEMBERED = 1 << 20
+#: Bytes of text encoded together.
+PORTION = 2 << 20
 
 _ENCODERS: dict[str, "Encoder"] = {}
 
@@ -50,21 +53,25 @@ class Encoder:
     def learn(self, fresh: list[bytes]) -> None:
         found = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
         ids = [e.ids for e in found]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        sizes = np.array(list(map(len, ids)), np.int64)
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-        flat = np.fromiter((i for e in ids for i in e), np.uint32, int(sizes.sum()))
+        flat = np.array(list(chain.from_iterable(ids)), np.uint32)
         self.ids = np.concatenate([self.ids, flat])
 
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each with its end, and their lengths."""
         if len(self.words) > REMEMBERED:
             self.clear()
-        words, known = self.words, len(self.words)
-        add = words.setdefault
         split = [t.split() for t in texts]
-        at = np.fromiter((add(w, len(words)) for ws in split for w in ws), np.int64)
-        if len(words) > known:
-            self.learn(list(words)[known:])
+        flat = list(chain.from_iterable(split))
+        at = list(map(self.words.get, flat))
+        if None in at:
+            known, add = len(self.words), self.words.setdefault
+            for i, place in enumerate(at):
+                if place is None:
+                    at[i] = add(flat[i], len(self.words))
+            self.learn(list(islice(reversed(self.words), len(self.words) - known))[::-1])
+        at = np.array(at, np.int64)
         sizes = self.starts[at + 1] - self.starts[at]
         # Ids per text, from the words' running totals.
         totals = np.concatenate([[0], np.cumsum(sizes)])
@@ -78,6 +85,18 @@ class Encoder:
         return out, lengths
 
 
+def portions(batch):
+    """A batch in parts of about ``PORTION`` bytes of text: a text's words are many objects."""
+    import pyarrow.compute as pc
+
+    sizes = pc.binary_length(batch.column(1)).fill_null(0).to_numpy()
+    part = np.cumsum(sizes) // PORTION
+    cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def encoder(path: str) -> Encoder:
     """The worker's encoder; it outlives a task so that words are learned once."""
     if path not in _ENCODERS:
@@ -127,20 +146,20 @@ def frames(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
         id_field = None
         for batch in batches:
             id_field = batch.schema.field(0).type
-            doc_ids = batch.column(0).to_pylist()
-            ids, lengths = encode(texts_as_bytes(batch), end)
-            stops = np.cumsum(lengths).tolist()
-            for doc, size, stop in zip(doc_ids, lengths.tolist(), stops):
-                docs_now.append(doc)
-                sizes_now.append(size)
-                ids_now.append(ids[stop - size : stop])
-                n_now += size
-                if n_now >= FRAME:
-                    held.append((docs_now, sizes_now, np.concatenate(ids_now)))
-                    blocks_held += -(-n_now // rangecoder.BLOCK)
-                    docs_now, sizes_now, ids_now, n_now = [], [], [], 0
-                    if blocks_held >= rangecoder.LANES:
-                        yield flush()
+            for some in portions(batch):
+                ids, lengths = encode(texts_as_bytes(some), end)
+                stops = np.cumsum(lengths).tolist()
+                for doc, size, stop in zip(some.column(0).to_pylist(), lengths.tolist(), stops):
+                    docs_now.append(doc)
+                    sizes_now.append(size)
+                    ids_now.append(ids[stop - size : stop])
+                    n_now += size
+                    if n_now >= FRAME:
+                        held.append((docs_now, sizes_now, np.concatenate(ids_now)))
+                        blocks_held += -(-n_now // rangecoder.BLOCK)
+                        docs_now, sizes_now, ids_now, n_now = [], [], [], 0
+                        if blocks_held >= rangecoder.LANES:
+                            yield flush()
         if docs_now:
             held.append((docs_now, sizes_now, np.concatenate(ids_now)))
         if held:

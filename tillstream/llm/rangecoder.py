@@ -32,7 +32,7 @@ LANES = 1024
 
 HEADER = struct.Struct("<5I")
 #: Contexts of order 1 and 2 that a block tells apart, and its chances.
-ORDER1, ORDER2 = 1024, 4096
+ORDER1, ORDER2 = 1024, 2048
 SLOTS, INPUTS = ORDER1 + ORDER2, 36
 #: Largest weight of an estimate, in 1/65536.
 MOST = 131_071
@@ -77,9 +77,9 @@ class Model:
         self.bases = np.cumsum([0, *sizes[:-1]])
         self.nodes = sum(sizes)
         self.cdf = np.tile((np.arange(16) * (WHOLE // 16)).astype(np.int16), (lanes * self.nodes, 1))
-        #: Last id after each order-2 and each order-1 context, and how often in a row.
-        self.pred = np.full(lanes * SLOTS, -1, np.int64)
-        self.conf = np.zeros(lanes * SLOTS, np.int64)
+        #: Last id after each order-2 and each order-1 context, above three bits of how
+        #: often in a row.
+        self.followed = np.zeros(lanes * SLOTS, np.int64)
         #: Chances in 1/65536 by order-2 confidence, order-1 confidence and recent hits.
         self.chances = np.full(lanes * INPUTS, 1 << 14, np.int64)
         self.weights = np.full((3, lanes), 26_000, np.int64)
@@ -96,7 +96,8 @@ class Model:
         np.bitwise_and(last * 0x2F35 + last2 * 0x61D, ORDER2 - 1, out=at[0])
         np.bitwise_and(last * 0x9E5, ORDER1 - 1, out=at[1])
         at += self.slots[:, :k]
-        guesses, conf = self.pred.take(at), self.conf.take(at)
+        followed = self.followed.take(at)
+        guesses, conf = followed >> 3, followed & 7
         guess = np.where(conf[0] > 0, guesses[0], guesses[1])
         seen = np.empty((3, k), np.int64)
         np.add(conf * 2, guesses[0] == guesses[1], out=seen[:2])
@@ -106,21 +107,20 @@ class Model:
         x = STRETCH.take(chances >> 4)
         dot = (self.weights[:, :k] * x).sum(axis=0) >> 16
         chance = SQUASH.take(dot + 2048, mode="clip")
-        self.state = at, guesses, conf, seen, chances, x, chance
+        self.state = at, followed, guesses, conf, seen, chances, x, chance
         return guess, chance
 
     def learn(self, k: int, ids: np.ndarray, hit: np.ndarray) -> None:
-        at, guesses, conf, seen, chances, x, chance = self.state
+        at, followed, guesses, conf, seen, chances, x, chance = self.state
         bit = hit.astype(np.int64)
         error = ((bit << 12) - chance) * 6
         w = self.weights[:, :k] + ((x * error + 0x2000) >> 14)
         self.weights[:, :k] = np.minimum(np.maximum(w, -MOST), MOST)
         self.chances[seen] = chances + ((bit * 65_535 - chances) >> 5)
         self.hits[:k] = ((self.hits[:k] << 1) | bit) & 3
-        right = guesses == ids
         lower = conf >> 1
-        self.pred[at] = np.where(right | (lower > 0), guesses, ids)
-        self.conf[at] = np.where(right, np.minimum(conf + 1, 7), np.maximum(lower, 1))
+        kept = np.where(lower > 0, followed - conf + lower, (ids << 3) + 1)
+        self.followed[at] = np.where(guesses == ids, followed + (conf < 7), kept)
         self.last2[:k] = self.last[:k]
         self.last[:k] = ids
 
