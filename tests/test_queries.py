@@ -7,7 +7,7 @@ import check
 from __spark_entry__ import entry, oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
-SKIP = ("ingest_", "t2", "t3", "t4")  # covered by the streaming and load tests
+SKIP = ("ingest_", "t2", "t3", "t4", "op", "pipeline")  # covered by tests of their own
 
 
 @pytest.fixture(scope="module")
