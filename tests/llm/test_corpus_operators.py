@@ -290,3 +290,14 @@ def test_pipeline_of_awkward_and_empty_documents(spark, awkward, empty):
         for _, stage in corpus_pipeline.STAGES:
             docs = common.stored(stage(spark, docs, SF), "test-awkward")
         assert docs.count() <= 100
+
+
+def test_clean_rows_stay_beside_leaks_with_their_id(spark, awkward):
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    item = benchmark.orderBy("item_id").first()["text"]
+    rows = [(i, f"{prose(20, 90)} {item} {prose(21, 90)}") for i in (None, None, 16, 5)]
+    leaking = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = awkward.unionByName(leaking, allowMissingColumns=True)
+    out = decontaminate.decontaminate(docs, benchmark)
+    assert out.columns == docs.columns
+    assert Counter(map(tuple, out.collect())) == Counter(map(tuple, awkward.collect()))

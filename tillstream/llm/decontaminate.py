@@ -248,12 +248,13 @@ def item_parts(benchmark: DataFrame, part_bytes: int = PART_BYTES):
             yield items
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, score, overlap) of every leaked item of every document."""
+def leaking_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, item_id, score, overlap) of every leaked item of every document."""
     import pyarrow as pa
 
     item_type = benchmark.schema["item_id"].dataType.simpleString()
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {item_type}, score double, overlap double"
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {id_type}, text_hash long, item_id {item_type}, score double, overlap double"
     out = None
     for items in item_parts(benchmark):
         index = Index.of(items)
@@ -264,7 +265,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches, sent=sent):
             index = sent.value
             for batch in batches:
-                ids, texts = batch.column(0), batch.column(1)
+                ids, hashes, texts = batch.columns
                 rows = [
                     (i, index.items[n].item_id, score, part)
                     for i, text in enumerate(texts)
@@ -273,21 +274,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 if rows:
                     at, item, score, part = zip(*rows)
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(at)), pa.array(item), pa.array(score, pa.float64()), pa.array(part, pa.float64())],
-                        names=["doc_id", "item_id", "score", "overlap"],
-                    )
-
-        found = docs.select("doc_id", "text").mapInArrow(run, schema)
+                        [
+                            ids.take(pa.array(at)), hashes.take(pa.array(at)),
+                            pa.array(item), pa.array(score, pa.float64()), pa.array(part, pa.float64()),
+                        ],
+                        names=["doc_id", "text_hash", "item_id", "score", "overlap"],
+                    )
+
+        found = docs.select("doc_id", F.xxhash64("text"), "text").mapInArrow(run, schema)
         out = found if out is None else out.unionAll(found)
     if out is None:
         return docs.sparkSession.createDataFrame([], schema)
     return out
 
 
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, score, overlap) of every leaked item of every document."""
+    return leaking_rows(docs, benchmark).drop("text_hash")
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without leaked items; rows that share an id with one go as well."""
-    bad = stored(leaks(docs, benchmark).select("doc_id").distinct(), "leaks")
-    marked = bad.select(F.col("doc_id").alias("_leaked"))
-    return docs.join(marked, docs["doc_id"].eqNullSafe(marked["_leaked"]), "left_anti").select(
-        *quoted(docs.columns)
-    )
+    """The documents without leaked items; other texts under the id of a leak stay."""
+    bad = stored(leaking_rows(docs, benchmark).select("doc_id", "text_hash").distinct(), "leaks")
+    marked = bad.select(F.col("doc_id").alias("_leaked"), F.col("text_hash").alias("_leaked_text"))
+    same = docs["doc_id"].eqNullSafe(marked["_leaked"]) & (F.xxhash64(docs["text"]) == marked["_leaked_text"])
+    return docs.join(marked, same, "left_anti").select(*quoted(docs.columns))
