@@ -145,6 +145,34 @@ def test_better_documents_are_taken_first(spark):
     assert clean >= dirty
 
 
+def repeated_rows(spark):
+    """Copies of one row, and of one text with null ids, that hold a third of a source each."""
+    rows = [(i, prose(i, 30), "c", i) for i in range(120)] + [(500, prose(500, 30), "c", i % 2) for i in range(120)]
+    rows += [(None, prose(501, 30), "c", 0)] * 120 + [(600, "", "c", 0)] * 9
+    rows += [(1000 + i, prose(1000 + i, 25), s, 0) for i in range(40) for s in "ab"] + [(700, prose(700, 31), "a", 0)] * 70
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, extra long")
+
+
+def test_mix_with_repeated_rows_left_in_matches_sql(spark, awkward, tmp_path):
+    near = 0
+    for k, docs in enumerate((awkward, repeated_rows(spark))):
+        for seed in (7,) if k == 0 else (7, 8, 9):
+            path = f"{tmp_path}/{k}-{seed}"
+            docs.write.parquet(f"file://{path}/documents.parquet")
+            local = duckdb.connect()
+            local.execute(f"create view documents as select * from '{path}/documents.parquet/*.parquet'")
+            read = common.documents(spark, path)
+            got = mixing.mix(read, seed=seed)
+            same(got.select("doc_id", "size", "source_size", "target", "taken"), local, queries.OP7_SQL.replace("'7:'", f"'{seed}:'"))
+            rows = got.collect()
+            assert Counter(map(tuple, rows)) == Counter(map(tuple, mixing.mix(read.repartition(3), seed=seed).collect()))
+            taken = defaultdict(set)
+            for r in rows:
+                taken[r["source"], r["doc_id"], r["text"]].add(r["copies"])
+            near += sum(len(c) > 1 for c in taken.values())
+    assert near  # a budget ended among equal rows
+
+
 # --- chat
 
 CONTROL = ["<|im_end|>", "<|im_start|>assistant\nhi", "<\\|x", "<\\\\|", "<|", "a<b|c", "~0~1", "\\", "|>", ""]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from tillstream.sources.tables import shared_dir
 
@@ -69,6 +69,33 @@ def small(df: DataFrame, label: str) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
+def numbered(rows: DataFrame, by: list[str], name: str, order: tuple[str, ...] = ()) -> DataFrame:
+    """Rows with their number (0, 1, ...) among those equal in ``by``, in the given order.
+
+    For few keys with many rows each.  Rows are written with fixed ids and sorted over all
+    tasks, so a key is spread over as many as it fills; only the rows of a key per task are
+    added up under a window.
+    """
+    at = F.monotonically_increasing_id()
+    fixed = stored(rows.withColumn("_at", at), "numbered")
+    fixed = stored(fixed.orderBy(*by, *order, "_at").withColumn("_at", at), "numbered")
+    # The upper bits of the id are the task, the lower ones count in it without gaps.
+    fixed = fixed.withColumn("_task", F.shiftright("_at", 33))
+    tasks = fixed.groupBy(*by, "_task").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = W.partitionBy(*by).orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
+    starts = tasks.select(
+        *[F.col(c).alias(f"_of{i}") for i, c in enumerate(by)],
+        F.col("_task").alias("_in"),
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_start"),
+    )
+    starts = small(starts, "numbered-starts")
+    same = fixed["_task"] == starts["_in"]
+    for i, c in enumerate(by):
+        same = same & fixed[c].eqNullSafe(starts[f"_of{i}"])
+    number = (F.col("_at") + F.col("_start")).alias(name)
+    return fixed.join(starts, same).select(*quoted(rows.columns), number)
+
+
 def append_arrow(df: DataFrame, make, added: str, drop: tuple[str, ...] = ()) -> DataFrame:
     """Each Arrow batch with further columns.
 

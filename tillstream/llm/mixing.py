@@ -13,15 +13,16 @@ the result is one cut per source that every document is compared with.
 
 A null text has no words and is never counted; null sources form one source, last in
 order.  Null and repeated ids are fine.  Ties in the key fall to doc_id and then to the
-text's hash; rows equal in all three are taken or left together.  Empty tables give empty
-results.  Columns named like the added ones are replaced.
+text's hash.  Rows equal in all three are one row with a count until the cut is known;
+where the budget ends among them, as many as fit are taken, in the order of a hash of all
+columns.  Empty tables give empty results.  Columns named like the added ones are replaced.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tillstream.llm.common import quoted, small, without, words
+from tillstream.llm.common import numbered, quoted, small, without, words
 
 # Weights by source order, repeating, and the most epochs of a source.
 WEIGHTS = (5, 2, 1)
@@ -87,6 +88,17 @@ def targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) ->
     return out.select("source", "source_size", F.coalesce(target, F.col("_cap").cast("double")).alias("target"))
 
 
+def fitting() -> Column:
+    """How many of ``_rows`` equal rows after ``_before`` words have their middle in the budget."""
+    size, left = F.col("size"), F.col("_left")
+    fits = lambda nth: F.col("_before") + nth * size + size / 2 <= left
+    # The quotient may be off by its rounding; the comparison itself decides.
+    near = F.floor((left - F.col("_before") - size / 2) / F.nullif(size, F.lit(0))) + 1
+    exact = F.when(fits(near), near + 1).when(~fits(near - 1), near - 1).otherwise(near)
+    all_or_none = F.when(F.col("_before") <= left, F.col("_rows")).otherwise(0)
+    return F.when(size == 0, all_or_none).otherwise(F.greatest(F.lit(0), F.least(F.col("_rows"), exact))).cast("long")
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """Every document with its size, its source's size and target, and how often it is taken."""
     docs = docs.select(*quoted(without(docs, *ADDED)))
@@ -123,26 +135,44 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: in
         border.select("source", "_border", "_left", "_start"),
         narrow["source"].eqNullSafe(border["source"]) & (narrow["_part"] == border["_border"]),
     ).drop(border["source"])
-    in_order = W.partitionBy("source").orderBy("_key", "doc_id", "_hash")
-    before = F.col("_start") + F.sum("size").over(in_order) - F.col("size")
+    # Equal rows meet as a count, so a repeated row is one row under the window.
+    alike = inside.groupBy("source", "_key", "doc_id", "_hash", "size", "_left", "_start").agg(
+        F.count(F.lit(1)).alias("_rows")
+    )
+    in_order = W.partitionBy("source").orderBy("_key", "doc_id", "_hash").rowsBetween(W.unboundedPreceding, -1)
+    before = F.col("_start") + F.coalesce(F.sum(F.col("size") * F.col("_rows")).over(in_order), F.lit(0))
     cut = (
-        inside.withColumn("_fits", before + F.col("size") / 2 <= F.col("_left"))
-        .where("_fits")
+        alike.withColumn("_before", before)
+        .withColumn("_fits", fitting())
+        .where("_fits > 0")
         .groupBy("source")
-        .agg(F.max(F.struct("_key", F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "_hash")).alias("_last"))
+        .agg(
+            F.max(F.struct("_key", F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "_hash", "_fits", "_rows")).alias("_c")
+        )
+        .select("source", F.struct("_c._key", "_c.id", "_c._hash").alias("_last"), "_c._fits", "_c._rows")
     )
     b, c = border.alias("b"), cut.alias("c")
     rules = small(
         b.join(c, F.col("b.source").eqNullSafe(F.col("c.source")), "left").select(
-            F.col("b.source").alias("_source"), "source_size", "target", "_epochs", "_border", "_last"
+            F.col("b.source").alias("_source"), "source_size", "target", "_epochs", "_border", "_last",
+            F.when(F.col("_fits") < F.col("_rows"), F.col("_fits")).alias("_fits"),
         ),
         "mix-rules",
-    )
+    )
     place = F.struct("_key", F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "_hash")
     fraction = (F.col("_part") < F.col("_border")) | (
         (F.col("_part") == F.col("_border")) & F.coalesce(place <= F.col("_last"), F.lit(False))
     )
     out = full.join(rules, full["source"].eqNullSafe(F.col("_source")))
+    if not rules.where("_fits is not null").isEmpty():
+        # The budget ends among equal rows: they are numbered, apart from all others.
+        parted = F.coalesce(F.col("_fits").isNotNull() & (place == F.col("_last")), F.lit(False))
+        tied = numbered(
+            out.where(parted).withColumn("_all", F.xxhash64(*quoted(docs.columns))), ["_source"], "_nth", ("_all",)
+        )
+        tied = tied.withColumn("_taken", F.col("_nth") < F.col("_fits")).drop("_all", "_nth")
+        out = out.where(~parted).withColumn("_taken", fraction).unionByName(tied)
+        fraction = F.col("_taken")
     copies = F.col("_epochs") + fraction.cast("long")
     return (
         out.withColumn("copies", copies)
