@@ -306,6 +306,17 @@ def test_retrieval_gives_exactly_the_items_above_the_threshold():
         assert want
 
 
+def test_maxima_grow_with_the_words_of_the_items():
+    items = [(i, prose(i, 12)) for i in range(6000)]
+    index = decontaminate.Index.of(items)
+    words = sum(len(set(i.words)) for i in index.items)
+    held = sum(a.nbytes for a in vars(index.maxima).values() if isinstance(a, np.ndarray))
+    assert held <= 24 * words  # a dense matrix would hold 4 bytes for each term and block
+    text = " ".join(f"{prose(9000 + n, 40)} {prose(n, 12)}" for n in (0, 17, 5999))
+    got = index.leaks(text)
+    assert {index.items[n].item_id for n in got} == {0, 17, 5999}
+
+
 # --- suffixes
 
 

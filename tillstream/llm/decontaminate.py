@@ -6,7 +6,7 @@ what a passage holding 80% of the item's five-word shingles scores at least, so
 that could pass the check below is lost.
 
 Search is block-max WAND.  Items are numbered and cut into blocks of ``BLOCK``; for each
-term and block the largest impact is kept.  Sums of those maxima over a passage, taken for
+term and each block it occurs in the largest impact is kept.  Sums of those maxima over a passage, taken for
 all passages of a text at once, leave few blocks open; in an open block the postings are
 walked item by item, skipping ahead while the maxima of the lists before the pivot cannot
 reach the threshold.
@@ -43,6 +43,8 @@ BLOCK = 4
 PART_BYTES = 8 << 20
 #: Words of a text that are looked at together.
 STRETCH = 1 << 16
+#: Sums over pieces and blocks, and maxima added to them, that are held at a time.
+CELLS, ADDED = 1 << 18, 1 << 20
 K1, B = 1.2, 0.75
 
 TOKEN = re.compile(r"\w+")
@@ -92,6 +94,45 @@ class Item:
     threshold: float = 0.0
 
 
+class Maxima:
+    """Largest impacts by term and block of items, for the blocks a term occurs in."""
+
+    def __init__(self, postings: list[tuple[list[int], list[float]]], n_blocks: int) -> None:
+        self.shape = (len(postings), n_blocks)
+        sizes = np.array([len(numbers) for numbers, _ in postings], np.int64)
+        blocks = np.concatenate([np.array(numbers, np.int64) // BLOCK for numbers, _ in postings] or [sizes])
+        impacts = np.concatenate([np.array(x, np.float32) for _, x in postings] or [sizes])
+        cells = np.repeat(np.arange(len(postings)), sizes) * n_blocks + blocks
+        # Postings are in the order of their items, so cells are sorted.
+        first = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]]) if len(cells) else sizes
+        self.cells = cells[first]
+        self.impacts = np.maximum.reduceat(impacts, first) if len(first) else impacts
+        self.starts = np.searchsorted(self.cells, np.arange(len(postings) + 1) * n_blocks)
+
+    def at(self, terms: np.ndarray, block: int) -> np.ndarray:
+        """The terms' maxima in a block, zero where they do not occur."""
+        wanted = terms * self.shape[1] + block
+        place = np.minimum(np.searchsorted(self.cells, wanted), len(self.cells) - 1)
+        return np.where(self.cells[place] == wanted, self.impacts[place], np.float32(0))
+
+    def sums(self, rows: np.ndarray, terms: np.ndarray, n_rows: int) -> np.ndarray:
+        """Maxima of the terms added up by row and block."""
+        n_blocks = self.shape[1]
+        sizes = self.starts[terms + 1] - self.starts[terms]
+        ends = np.cumsum(sizes)
+        out = np.zeros(n_rows * n_blocks)
+        a = 0
+        while a < len(terms):
+            done = int(ends[a - 1]) if a else 0
+            b = max(a + 1, int(np.searchsorted(ends, done + ADDED, "right")))
+            part = sizes[a:b]
+            place = np.arange(int(part.sum())) + np.repeat(self.starts[terms[a:b]] - (ends[a:b] - part - done), part)
+            to = self.cells[place] + np.repeat((rows[a:b] - terms[a:b]) * n_blocks, part)
+            out += np.bincount(to, self.impacts[place], len(out))
+            a = b
+        return out.reshape(n_rows, n_blocks)
+
+
 @dataclass
 class Index:
     """Inverted index of items with block maxima."""
@@ -100,8 +141,8 @@ class Index:
     terms: dict[str, int] = field(default_factory=dict)
     #: For each term the items holding it in order, and the impacts there.
     postings: list[tuple[list[int], list[float]]] = field(default_factory=list)
-    #: Largest impact by term and block of items; the last row belongs to unknown words.
-    maxima: np.ndarray = field(default_factory=lambda: np.zeros((1, 0), np.float32))
+    #: Largest impact by term and block of items.
+    maxima: Maxima = field(default_factory=lambda: Maxima([], 0))
     #: Lowest threshold by block.
     floors: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
     window: int = 2
@@ -137,10 +178,7 @@ class Index:
         index.terms = {w: k for k, w in enumerate(lists)}
         index.postings = [([n for n, _ in p], [x for _, x in p]) for p in lists.values()]
         n_blocks = -(-len(items) // BLOCK)
-        index.maxima = np.zeros((len(lists) + 1, n_blocks), np.float32)
-        for k, (numbers, impacts) in enumerate(index.postings):
-            for n, x in zip(numbers, impacts):
-                index.maxima[k, n // BLOCK] = max(index.maxima[k, n // BLOCK], x)
+        index.maxima = Maxima(index.postings, n_blocks)
         index.floors = np.array(
             [min(i.threshold for i in items[b * BLOCK : (b + 1) * BLOCK]) for b in range(n_blocks)],
             np.float32,
@@ -153,8 +191,8 @@ class Index:
         floor = float(self.floors[block])
         last = min((block + 1) * BLOCK, len(self.items))
         cursors = []  # next item, place in the list, maximum in this block, list
-        for term in found:
-            bound = float(self.maxima[term, block])
+        order = list(found)
+        for term, bound in zip(order, self.maxima.at(np.array(order, np.int64), block).tolist()):
             if bound > 0:
                 numbers, impacts = self.postings[term]
                 at = bisect_left(numbers, block * BLOCK)
@@ -189,9 +227,11 @@ class Index:
         best: dict[int, tuple[float, float]] = {}
         words = tokens(text)
         step = self.window // 2
-        for start in range(0, max(1, len(words) - step), STRETCH - STRETCH % step):
+        # Few pieces at a time if there are many blocks: all their sums are held.
+        stretch = max(1, min(STRETCH // step, CELLS // self.maxima.shape[1])) * step
+        for start in range(0, max(1, len(words) - step), stretch):
             # Stretches overlap by a window, so no window is missed between them.
-            self._leaks(words[start : start + STRETCH + self.window], best)
+            self._leaks(words[start : start + stretch + self.window], best)
         return best
 
     def _leaks(self, words: list[str], best: dict[int, tuple[float, float]]) -> None:
@@ -205,18 +245,17 @@ class Index:
         step = self.window // 2
         held = np.unique(known // step * unknown + ids[known])
         piece, term = np.divmod(held, unknown)
-        first = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
-        sums = np.zeros((max(2, -(-len(words) // step)), self.maxima.shape[1]), np.float32)
-        sums[piece[first]] = np.add.reduceat(self.maxima[term], first, axis=0)
+        sums = self.maxima.sums(piece, term, max(2, -(-len(words) // step)))
         reach = sums[:-1] + sums[1:]
-        # Sums of few float32 values are off by far less than the margin.
+        # Sums of float32 values are off by far less than the margin.
         edges = np.searchsorted(piece, np.arange(len(sums) + 1))
         for w, block in zip(*np.nonzero(reach >= self.floors - 0.01)):
             here = term[edges[w] : edges[w + 2]]
-            found = set(here[self.maxima[here, block] > 0].tolist())
-            if self.maxima[list(found), block].sum() < self.floors[block] - 0.01:
-                continue  # words of both pieces had been counted twice
-            hits = self.retrieve(found, int(block))
+            here = np.unique(here)  # words of both pieces had been counted twice
+            bounds = self.maxima.at(here, block)
+            if bounds.sum() < self.floors[block] - 0.01:
+                continue
+            hits = self.retrieve(set(here[bounds > 0].tolist()), int(block))
             if hits:
                 passage = words[w * step : w * step + self.window]
                 have, single = shingles(passage), set(passage)
@@ -260,7 +299,7 @@ def leaking_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         index = Index.of(items)
         if not index.items:
             continue
-        sent = docs.sparkSession.sparkContext.broadcast(index)  # at most a part's size
+        sent = docs.sparkSession.sparkContext.broadcast(index)  # grows with the words of a part
 
         def run(batches, sent=sent):
             index = sent.value
