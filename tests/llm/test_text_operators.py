@@ -313,10 +313,23 @@ def test_maxima_grow_with_the_words_of_the_items():
     held = sum(a.nbytes for a in vars(index.maxima).values() if isinstance(a, np.ndarray))
     assert held <= 24 * words  # a dense matrix would hold 4 bytes for each term and block
     text = " ".join(f"{prose(9000 + n, 40)} {prose(n, 12)}" for n in (0, 17, 5999))
-    got = index.leaks(text)
+    got = index.leaks(decontaminate.tokens(text))
     assert {index.items[n].item_id for n in got} == {0, 17, 5999}
 
 
+def test_a_very_long_item_leaves_the_others_as_they_are(spark):
+    long, short = prose(30, 70_000), prose(31, 40)
+    words = short.split()
+    scattered = " ".join(f"{' '.join(words[i : i + 9])} {prose(40 + i, 150)}" for i in range(0, 32))
+    docs = [(1, f"{prose(32, 90)} {short} {prose(33, 90)}"), (2, scattered), (3, f"a {long} b")]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([(1, short), (2, long)], "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"]) for r in decontaminate.leaks(table, items).collect())
+    alone = sorted((r["doc_id"], r["item_id"]) for r in decontaminate.leaks(table, items.where("item_id = 1")).collect())
+    assert alone == [(1, 1)]
+    assert got == [(1, 1), (3, 2)]
+
+
 # --- suffixes
 
 

@@ -16,8 +16,9 @@ shingles, and at least 80% of the words of its question and of its answer.  An i
 answer is what follows its last question mark or ``answer:``; without either it is its
 last sentence, and for a single sentence its last third.
 
-Passages are windows of twice the longest item's words, moved by half, over the whole
-text.  Items are indexed in parts of bounded size, one pass over the documents each, so no
+Passages are windows moved by half over the whole text.  Items are searched in classes by
+length, doubling from ``SHORT`` words, and a window is twice the class's bound, so a passage
+never depends on the other items.  Scores weigh words within a class of a part.  Items are indexed in parts of bounded size, one pass over the documents each, so no
 more than a part is ever sent to the tasks.  Null and empty texts hold no passage; items
 without words are never matched; null and repeated ids are ordinary.  Empty tables and
 tables without items give an empty result.
@@ -41,6 +42,8 @@ SIMILARITY = 0.8
 BLOCK = 4
 #: Bytes of item text that one index holds; larger benchmarks take more passes.
 PART_BYTES = 8 << 20
+#: Words of the items in the first class by length.
+SHORT = 64
 #: Words of a text that are looked at together.
 STRETCH = 1 << 16
 #: Sums over pieces and blocks, and maxima added to them, that are held at a time.
@@ -84,6 +87,11 @@ def share(words: list[str], held: set[str]) -> float:
     return sum(w in held for w in words) / len(words) if words else 1.0
 
 
+def class_of(n_words: int) -> int:
+    """The most words an item of the same class may have."""
+    return max(SHORT, 1 << (n_words - 1).bit_length())
+
+
 @dataclass
 class Item:
     item_id: object
@@ -183,7 +191,7 @@ class Index:
             [min(i.threshold for i in items[b * BLOCK : (b + 1) * BLOCK]) for b in range(n_blocks)],
             np.float32,
         )
-        index.window = 2 * max(len(i.words) for i in items)
+        index.window = 2 * class_of(max(len(i.words) for i in items))
         return index
 
     def retrieve(self, found: set[int], block: int) -> list[tuple[int, float]]:
@@ -222,10 +230,9 @@ class Index:
             cursors = [c for c in cursors if c[0] < last]
         return out
 
-    def leaks(self, text: str) -> dict[int, tuple[float, float]]:
-        """Leaked items of a text: best score and share of shingles found."""
+    def leaks(self, words: list[str]) -> dict[int, tuple[float, float]]:
+        """Leaked items of a text's words: best score and share of shingles found."""
         best: dict[int, tuple[float, float]] = {}
-        words = tokens(text)
         step = self.window // 2
         # Few pieces at a time if there are many blocks: all their sums are held.
         stretch = max(1, min(STRETCH // step, CELLS // self.maxima.shape[1])) * step
@@ -287,6 +294,15 @@ def item_parts(benchmark: DataFrame, part_bytes: int = PART_BYTES):
             yield items
 
 
+def indexes_of(rows: list[tuple[object, str]]) -> list[Index]:
+    """One index for each class of items by length; items without words are in none."""
+    classes = defaultdict(list)
+    for row in rows:
+        if n_words := len(tokens(row[1] or "")):
+            classes[class_of(n_words)].append(row)
+    return [Index.of(classes[c]) for c in sorted(classes)]
+
+
 def leaking_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_hash, item_id, score, overlap) of every leaked item of every document."""
     import pyarrow as pa
@@ -296,19 +312,21 @@ def leaking_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     schema = f"doc_id {id_type}, text_hash long, item_id {item_type}, score double, overlap double"
     out = None
     for items in item_parts(benchmark):
-        index = Index.of(items)
-        if not index.items:
+        indexes = indexes_of(items)
+        if not indexes:
             continue
-        sent = docs.sparkSession.sparkContext.broadcast(index)  # grows with the words of a part
+        sent = docs.sparkSession.sparkContext.broadcast(indexes)  # grows with the words of a part
 
         def run(batches, sent=sent):
-            index = sent.value
+            indexes = sent.value
             for batch in batches:
                 ids, hashes, texts = batch.columns
                 rows = [
                     (i, index.items[n].item_id, score, part)
                     for i, text in enumerate(texts)
-                    for n, (score, part) in index.leaks(text.as_py() or "").items()
+                    for words in (tokens(text.as_py() or ""),)
+                    for index in indexes
+                    for n, (score, part) in index.leaks(words).items()
                 ]
                 if rows:
                     at, item, score, part = zip(*rows)
