@@ -86,6 +86,17 @@ def test_shards_read_back(spark, documents, tmp_path):
     assert Counter(map(tuple, back.select(*out.columns).collect())) == Counter(map(tuple, out.collect()))
 
 
+def test_copies_of_a_row_spread_over_all_shards(spark):
+    rows = [(i, prose(i, 5)) for i in range(600)] + [(7000, "again and again")] * 300 + [(None, None)] * 100
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sharding.shard_documents(docs, 10, bucket_bytes=2000).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in out) == Counter(rows)
+    copies = Counter(r["shard"] for r in out if r["doc_id"] == 7000)
+    assert len(copies) == 10 and max(copies.values()) < 60
+    again = sharding.shard_documents(docs.repartition(5), 10, bucket_bytes=2000).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, out))
+
+
 # --- mixing
 
 
