@@ -52,14 +52,14 @@ def scratch(spark: SparkSession, label: str) -> str:
     return path
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Later steps start from the files, so losing an executor costs no recomputation
     of what came before and every reader sees the same rows.
     """
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

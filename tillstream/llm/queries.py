@@ -5,9 +5,25 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillstream.llm import chat, common, decontaminate, idfiles, lm, mixing, quality, sharding, simhash, suffixes, tokens
+from tillstream.llm import (
+    alignment,
+    chat,
+    common,
+    decontaminate,
+    digests,
+    idfiles,
+    lm,
+    mixing,
+    quality,
+    sharding,
+    simhash,
+    suffixes,
+    tokens,
+    vectorcodes,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -206,3 +222,38 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_lm")
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.held_out_scores(common.documents(spark, sf_dir))
+
+
+@register("op11_fingerprints")
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    found = digests.edits(docs, digests.entropy_ranks(docs))
+    prints = {c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")}
+    return found.withColumns(prints)
+
+
+@register("op12_vector_codes")
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
+    found = vectorcodes.compress(vectors)
+    rows = common.stored(found.rows.drop("embedding"), "vector-codes")
+    labels = rows.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    labels = common.small(labels, "label-errors")
+    return rows.join(labels, rows["label"].eqNullSafe(labels["of"])).select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(found.digest()).alias("codebooks_sha256"),
+    )
+
+
+#: The byte-level tokenizer and the one of pieces.
+BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+@register("op13_alignment")
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(PIECE_TOKENIZER)
+    found = alignment.align(common.documents(spark, sf_dir).select("doc_id", "text"), alignment.Tokenizers.from_files(*files))
+    return found.drop("text")
