@@ -359,3 +359,12 @@ def test_alignment_query(spark):
     for r in got.collect():
         mine, plain = tuple(r)[1:], want[r["doc_id"]]
         assert mine[:6] == plain[:6] and (plain[6] is None or mine[6] == plain[6])
+
+
+def test_both_ways_of_the_first_side_agree(tokenizers):
+    words = [" " + w for t in ODD[:3] + [prose(1, 200)] for w in t.split(" ") if w] + [" x\n", " ", " y"]
+    plain = alignment.Tokenizers(tokenizers.a_json, tokenizers.b_model)
+    plain.__dict__["a_ranks"] = None
+    assert tokenizers.a_ranks is not None
+    for fast, slow in zip(tokenizers.encode(words), plain.encode(words)):
+        assert all(np.array_equal(x, y) for x, y in zip(fast, slow))

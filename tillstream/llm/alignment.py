@@ -27,21 +27,23 @@ more are joined with the documents' pairs in Spark, with the same rows.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tillstream.llm.common import append_arrow, quoted, stored, without
 
-REMEMBERED, STRETCH = 1 << 17, 64
+REMEMBERED, STRETCH = 1 << 19, 32
 #: Pairs whose counts are sent to the tasks: 16 bytes each.
 PAIRS = 4 << 20
 #: Characters of text worked on together, and pairs a task holds before it adds them up.
-PORTION = 4 << 20
+PORTION = 1 << 20
 HELD = 4 << 20
 SPACE = "▁"
 _CUT = re.compile(r"(?<=\S) ")
@@ -104,12 +106,75 @@ class Tokenizers:
             for i, p in enumerate(self.b_pieces)
         ]
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both sides; texts begin with a space, which the second adds itself."""
-        left = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+    @cached_property
+    def a_ranks(self):
+        """The first side as byte ranks, where its file says that ids are the merges' order.
+
+        Ranks give the same tokens and take long texts at once; None if ids differ.
+        """
+        import public_tokenizers
+        import tiktoken
+
+        model = json.loads(self.a_json)["model"]
+        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        singles = [t for t in model["vocab"] if len(t) == 1]
+        ordered = len(singles) == 256 and all(model["vocab"].get(x + y) == 256 + i for i, (x, y) in enumerate(pairs))
+        if not ordered or sorted(model["vocab"][t] for t in singles) != list(range(256)):
+            return None
+        ranks = {self.a_bytes[i]: i for i in range(256 + len(pairs))}
+        return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, texts: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], ...]:
+        """For both sides all ids and how many each text has.
+
+        Texts are stretches: they begin with a space, which the second side adds itself.
+        """
+        if self.a_ranks is None:
+            left = _flat([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)])
+        else:
+            left = self._by_rank(texts)
         right = self.b.encode([t[1:] for t in texts], num_threads=1)
-        alone = self.b.piece_to_id(SPACE)
-        return left, [ids or [alone] for ids in right]
+        alone = [self.b.piece_to_id(SPACE)]
+        return left, _flat([ids or alone for ids in right])
+
+    def _by_rank(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """One text of many stretches ends a token where each ends, as documents do."""
+        encode, sizes = self.a_ranks.encode_ordinary, self.a_sizes
+        open_ends = [t[-1].isspace() for t in texts]
+        if any(open_ends):  # white space may only end a text
+            runs, start = [], 0
+            for i in np.flatnonzero(open_ends).tolist():
+                runs.append("".join(texts[start : i + 1]))
+                start = i + 1
+            runs.append("".join(texts[start:]))
+        else:
+            runs = ["".join(texts)]
+        ids = np.fromiter(chain.from_iterable(map(encode, runs)), np.int64)
+        ends = np.cumsum(sizes[ids])
+        stops = np.cumsum([len(t.encode()) for t in texts])
+        at = np.searchsorted(ends, stops)
+        if len(stops) and not np.array_equal(ends[at], stops):
+            raise ValueError("a token crosses a space after another character")
+        return ids, np.diff(at + 1, prepend=0)
+
+    @cached_property
+    def a_sizes(self) -> np.ndarray:
+        return np.array(list(map(len, self.a_bytes)), np.int64)
+
+    @cached_property
+    def b_sizes(self) -> np.ndarray:
+        return np.array(list(map(len, self.b_bytes)), np.int64)
+
+    @cached_property
+    def shown(self) -> tuple[np.ndarray, np.ndarray]:
+        """Decimal ids with a comma, a bar or a semicolon behind, and their lengths."""
+        n = max(len(self.a_bytes), len(self.b_bytes))
+        texts = [f"{i}{mark}" for mark in ",|;" for i in range(n)]
+        return np.array(texts, object), np.array(list(map(len, texts)), np.int64)
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.fromiter(chain.from_iterable(lists), np.int64), np.array(list(map(len, lists)), np.int64)
 
 
 def overlaps(left, right):
@@ -155,24 +220,28 @@ class Stretches:
         """Align stretches; ``docs`` are the documents they stand in, ascending."""
         import pandas as pd
 
-        sides, tables = self.tokenizers.encode(texts), (self.tokenizers.a_bytes, self.tokenizers.b_bytes)
+        made = self.tokenizers
         raw = [t.encode() for t in texts]
-        wrong = np.zeros(len(texts), bool)
-        for ids, table in zip(sides, tables):
-            for i, (mine, text) in enumerate(zip(ids, raw)):
-                if b"".join([table[t] for t in mine]) != text:
-                    wrong[i] = True
-        for i in np.flatnonzero(wrong):
-            raw[i], sides[0][i], sides[1][i] = b"", [], []
-        bases = np.cumsum([0, *map(len, raw)])
+        sizes = np.array(list(map(len, raw)), np.int64)
+        n = len(texts)
+        sides, wrong = [], np.zeros(n, bool)
+        for (ids, many), widths, table in zip(
+            made.encode(texts), (made.a_sizes, made.b_sizes), (made.a_bytes, made.b_bytes)
+        ):
+            owner = np.repeat(np.arange(n), many)
+            wrong |= np.bincount(owner, widths[ids], n) != sizes
+            if b"".join([table[i] for i in ids.tolist()]) != b"".join(raw):
+                stops = np.cumsum(many).tolist()
+                for i, (a, b) in enumerate(zip([0, *stops[:-1]], stops)):
+                    wrong[i] |= b"".join([table[t] for t in ids[a:b].tolist()]) != raw[i]
+            sides.append((ids, owner, widths))
+        bases = np.concatenate([[0], np.cumsum(np.where(wrong, 0, sizes))])
         frames, owners = [], []
-        for ids, table in zip(sides, tables):
-            owner = np.repeat(np.arange(len(texts)), [len(x) for x in ids])
-            flat = np.array([t for x in ids for t in x], np.int64)
-            ends = np.cumsum([len(table[t]) for t in flat.tolist()], dtype=np.int64)
-            starts = np.concatenate([[0], ends[:-1]])[: len(ends)]
-            doc = np.array(docs, np.int64)[owner] if len(owner) else owner
-            frames.append(pd.DataFrame({"doc": doc, "start": starts, "end": ends, "id": flat}))
+        for ids, owner, widths in sides:
+            ids, owner = ids[~wrong[owner]], owner[~wrong[owner]]
+            ends = np.cumsum(widths[ids])
+            doc = np.array(docs, np.int64)[owner]
+            frames.append(pd.DataFrame({"doc": doc, "start": ends - widths[ids], "end": ends, "id": ids}))
             owners.append(owner)
         left, right = frames
         met = overlaps(left, right)
@@ -180,7 +249,6 @@ class Stretches:
         link = left["id"].to_numpy()[met[0]] << 20 | right["id"].to_numpy()[met[1]]
         holder = owners[0][met[0]]
         cuts = np.intersect1d(left["end"].to_numpy(), right["end"].to_numpy(), assume_unique=True)
-        n = len(texts)
         numbers = np.zeros((n, 7), np.int64)
         numbers[:, 0], numbers[:, 1] = (np.bincount(o, minlength=n) for o in owners)
         numbers[:, 2] = np.bincount(np.searchsorted(bases[1:], cuts), minlength=n)
@@ -199,19 +267,25 @@ class Stretches:
         self.starts = np.concatenate([self.starts, len(self.pairs) + bounds])
         self.pairs = np.concatenate([self.pairs, link])
 
-    @staticmethod
-    def _groups(frames, owners, cuts, n: int) -> list[str]:
-        """Text of each stretch's groups."""
-        sides = []
-        for frame in frames:
-            ids = list(map(str, frame["id"].tolist()))
-            stops = np.searchsorted(frame["end"].to_numpy(), cuts) + 1
-            sides.append([",".join(ids[a:b]) for a, b in zip([0, *stops[:-1].tolist()], stops.tolist())])
-        found: list[list[str]] = [[] for _ in range(n)]
-        last = np.searchsorted(frames[0]["end"].to_numpy(), cuts)
-        for owner, a, b in zip(owners[0][last].tolist(), *sides):
-            found[owner].append(f"{a}|{b}")
-        return [";".join(x) for x in found]
+    def _groups(self, frames, owners, cuts, n: int) -> list[str]:
+        """Text of each stretch's groups, made in one string and cut."""
+        shown, lengths = self.tokenizers.shown
+        per_mark = len(shown) // 3
+        ids, order, owner = [], [], []
+        for side, (frame, mine) in enumerate(zip(frames, owners)):
+            end = frame["end"].to_numpy()
+            group = np.searchsorted(cuts, end)
+            last = np.ones(len(end), bool)
+            last[:-1] = group[1:] != group[:-1]
+            # The last id of a side's group has a bar or a semicolon behind it.
+            ids.append(frame["id"].to_numpy() + per_mark * (last * (side + 1)))
+            order.append(2 * group + side)
+            owner.append(mine)
+        sort = np.argsort(np.concatenate(order), kind="stable")
+        ids, owner = np.concatenate(ids)[sort], np.concatenate(owner)[sort]
+        text = "".join(shown[ids].tolist())
+        stops = np.cumsum(np.bincount(owner, lengths[ids], n).astype(np.int64)).tolist()
+        return [text[a : max(a, b - 1)] for a, b in zip([0, *stops[:-1]], stops)]
 
     def number(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Stretch numbers of all texts one after the other, and how many each text has."""
