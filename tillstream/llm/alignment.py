@@ -30,6 +30,7 @@ import hashlib
 import json
 import os
 import re
+import uuid
 from dataclasses import dataclass, field
 from functools import cached_property
 from itertools import chain
@@ -48,6 +49,8 @@ HELD = 4 << 20
 SPACE = "▁"
 _CUT = re.compile(r"(?<=\S) ")
 _ODD = re.compile(r"\s ")
+#: What a worker keeps from one task to the next: loaded tokenizers and aligned stretches.
+_KEPT: dict[str, tuple[str, object]] = {}
 ADDED = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
@@ -322,6 +325,17 @@ class Stretches:
             self.clear()
 
 
+def _held(sent, key: str, counts=None) -> Stretches:
+    """This worker's stretches for a job, with tokenizers that outlive it."""
+    contents = sent.value[:2]
+    digest = hashlib.md5(contents[0].encode() + contents[1]).hexdigest()
+    if _KEPT.get("tokenizers", ("",))[0] != digest:
+        _KEPT["tokenizers"] = digest, Tokenizers(*contents)
+    if _KEPT.get("stretches", ("",))[0] != key:
+        _KEPT["stretches"] = key, Stretches(_KEPT["tokenizers"][1], counts)
+    return _KEPT["stretches"][1]
+
+
 def _portions(texts: list[str]):
     start, size = 0, 0
     for i, t in enumerate(texts):
@@ -356,10 +370,10 @@ def pair_counts(docs: DataFrame, tokenizers: Tokenizers) -> DataFrame:
     """
     import pyarrow as pa
 
-    sent = docs.sparkSession.sparkContext.broadcast((tokenizers.a_json, tokenizers.b_model))
+    sent, key = docs.sparkSession.sparkContext.broadcast((tokenizers.a_json, tokenizers.b_model)), uuid.uuid4().hex
 
     def run(batches):
-        held, kept = Stretches(Tokenizers(*sent.value)), []
+        held, kept = _held(sent, key), []
         pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def added():
@@ -403,11 +417,12 @@ def _digest(groups: list[str]) -> str:
 def _aligned(docs: DataFrame, tokenizers: Tokenizers, counts) -> DataFrame:
     """Every document with its columns; without counts those of counts are 0."""
     sent = docs.sparkSession.sparkContext.broadcast((tokenizers.a_json, tokenizers.b_model, counts))
+    key = uuid.uuid4().hex
 
     def make():
         import pyarrow as pa
 
-        held = Stretches(Tokenizers(*sent.value[:2]), sent.value[2])
+        held = _held(sent, key, sent.value[2])
 
         def portion(texts):
             numbers, sizes = held.number(texts)
@@ -440,10 +455,10 @@ def _joined(docs: DataFrame, tokenizers: Tokenizers, counts: DataFrame) -> DataF
     import pyarrow as pa
 
     rows = stored(_aligned(docs, tokenizers, None).withColumn("_row", F.monotonically_increasing_id()), "aligned")
-    sent = docs.sparkSession.sparkContext.broadcast((tokenizers.a_json, tokenizers.b_model))
+    sent, key = docs.sparkSession.sparkContext.broadcast((tokenizers.a_json, tokenizers.b_model)), uuid.uuid4().hex
 
     def run(batches):
-        held = Stretches(Tokenizers(*sent.value))
+        held = _held(sent, key)
         for batch in batches:
             ids, texts = batch.column(0).to_numpy(), [t or "" for t in batch.column(1).to_pylist()]
             for at in _portions(texts):
