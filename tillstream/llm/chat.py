@@ -22,6 +22,46 @@ from pyspark.sql import Column, DataFrame, functions as F
 START, END, TURN = "<|im_start|>", "<|im_end|>", "<|im_turn|>"
 
 
+#: Numbers that are added up one by one; sums of so many are added up in turn.
+BLOCK = 128
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, not at each use in a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sums_before(numbers: Column) -> Column:
+    """Sum of the numbers before each, adding up anew for each."""
+    total = lambda some: F.aggregate(some, F.lit(0), lambda a, b: a + b)
+    return F.transform(numbers, lambda _, i: total(F.slice(numbers, F.lit(1), i)))
+
+
+def running(sizes: Column, first: Column) -> Column:
+    """``first`` and the numbers before each, added up.
+
+    An array that grows number by number would be copied each time.  Blocks of bounded
+    length are added up on their own and moved by the sums of the blocks before them.
+    """
+
+    def blocks(s):
+        ends = F.transform(
+            F.sequence(F.lit(0), F.greatest(F.size(s) - 1, F.lit(0)), F.lit(BLOCK)),
+            lambda i: F.struct(i.alias("from"), (F.least(i + BLOCK, F.size(s)) - 1).alias("to")),
+        )
+        return F.transform(
+            F.filter(ends, lambda e: e["from"] <= e["to"]),
+            lambda e: F.transform(F.sequence(e["from"], e["to"]), lambda j: F.get(s, j)),
+        )
+
+    def moved(parts):
+        totals = F.transform(parts, lambda part: F.aggregate(part, F.lit(0), lambda a, b: a + b))
+        shift = lambda part, base: F.transform(_sums_before(part), lambda x: x + base + first)
+        return F.flatten(F.zip_with(parts, _let(totals, _sums_before), shift))
+
+    return _let(sizes, lambda s: _let(blocks(s), moved))
+
+
 def escape(text: Column) -> Column:
     return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\|")
 
@@ -77,20 +117,14 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant") -> Data
     # A turn's text starts after the head and, for each earlier turn, its text and a divider.
     ends = F.transform(
         "messages",
-        lambda m: F.aggregate(
-            m["texts"],
-            F.struct(
-                (F.lit(len(START) + 1) + F.length(m["head"])).alias("at"),
-                F.array().cast("array<struct<start:int,length:int>>").alias("spans"),
+        lambda m: F.zip_with(
+            running(
+                F.transform(m["texts"], lambda t: F.length(t) + len(TURN)),
+                F.lit(len(START) + 1) + F.length(m["head"]),
             ),
-            lambda acc, t: F.struct(
-                (acc["at"] + F.length(t) + len(TURN)).alias("at"),
-                F.concat(
-                    acc["spans"],
-                    F.array(F.struct(acc["at"].alias("start"), F.length(t).alias("length"))),
-                ).alias("spans"),
-            ),
-        )["spans"],
+            F.transform(m["texts"], lambda t: F.length(t)),
+            lambda start, length: F.struct(start.alias("start"), length.alias("length")),
+        ),
     )
     spans = F.flatten(
         F.transform(
@@ -118,27 +152,75 @@ def messages_of() -> Column:
     return F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda m: F.concat(F.lit(START), m))
 
 
+def _inner(message: Column) -> Column:
+    """A message without its start mark and its end."""
+    return F.substring(message, len(START) + 1, F.length(message) - len(START) - len(END) - 1)
+
+
+def _head(inner: Column) -> Column:
+    return F.substring_index(inner, "\n", 1)
+
+
+def _texts(inner: Column) -> Column:
+    """The texts of a message, still escaped."""
+    return F.split(F.substring(inner, F.length(_head(inner)) + 2, F.length(inner)), r"<\|im_turn\|>")
+
+
 def turns_of(messages: Column) -> Column:
     """The turns (role, text) of the messages of a formatted string."""
-    tail = len(END) + 1
-    message = lambda m: F.substring(m, len(START) + 1, F.length(m) - len(START) - tail)
-    inner = F.transform(messages, message)
     return F.flatten(
         F.transform(
-            inner,
+            F.transform(messages, _inner),
             lambda m: F.transform(
-                F.split(F.substring(m, F.length(F.substring_index(m, "\n", 1)) + 2, F.length(m)), r"<\|im_turn\|>"),
-                lambda t: F.struct(
-                    unescape_role(F.substring_index(m, "\n", 1)).alias("role"), unescape(t).alias("text")
-                ),
+                _texts(m),
+                lambda t: F.struct(unescape_role(_head(m)).alias("role"), unescape(t).alias("text")),
             ),
         )
     )
 
 
 def loss_of(messages: Column) -> Column:
-    """The texts under the row's loss mask, in order."""
-    return F.transform(
+    """The texts under the row's loss mask, in order.
+
+    Messages are split once.  Spans and texts are sorted by place together, so a text under
+    the mask stands right behind its span; nothing is searched or read from the start again.
+    """
+    kind = "struct<message:int,start:int,text_after:boolean,length:int,text:string>"
+    spans = F.transform(
         "loss_spans",
-        lambda s: unescape(F.substring(F.get(messages, s["message"]), s["start"] + 1, s["length"])),
+        lambda s: F.struct(s["message"], s["start"], F.lit(False), s["length"], F.lit(None).cast("string")).cast(kind),
+    )
+    texts = F.flatten(
+        F.transform(
+            F.transform(messages, _inner),
+            lambda m, k: F.zip_with(
+                _texts(m),
+                running(
+                    F.transform(_texts(m), lambda t: F.length(t) + len(TURN)),
+                    F.lit(len(START) + 1) + F.length(_head(m)),
+                ),
+                lambda t, start: F.struct(k, start, F.lit(True), F.length(t), t).cast(kind),
+            ),
+        )
+    )
+    return F.transform(
+        F.filter(
+            _neighbours(F.sort_array(F.concat(spans, texts))),
+            lambda p: p["now"]["text_after"]
+            & ~p["before"]["text_after"]
+            & (p["now"]["message"] == p["before"]["message"])
+            & (p["now"]["start"] == p["before"]["start"])
+            & (p["now"]["length"] == p["before"]["length"]),
+        ),
+        lambda p: unescape(p["now"]["text"]),
+    )
+
+
+def _neighbours(items: Column) -> Column:
+    """Each item with the one before it; the first has none."""
+    shifted = F.slice(items, F.lit(1), F.greatest(F.size(items) - 1, F.lit(0)))
+    return F.zip_with(
+        items,
+        F.concat(F.array(F.lit(None)), shifted),
+        lambda now, before: F.struct(now.alias("now"), before.alias("before")),
     )

@@ -32,6 +32,16 @@ def quoted(names: list[str]) -> list[Column]:
     return [F.col("`" + n.replace("`", "``") + "`") for n in names]
 
 
+def packed(df: DataFrame, name: str = "row") -> Column:
+    """All columns of a table as one struct, out of the way of an operator's own names."""
+    return F.struct(*[c.alias(n) for c, n in zip(quoted(df.columns), df.columns)]).alias(name)
+
+
+def unpacked(names: list[str], name: str = "row") -> list[Column]:
+    """The columns of such a struct."""
+    return [F.col(name).getField(n).alias(n) for n in names]
+
+
 def delete_on_exit(spark: SparkSession, path: str) -> None:
     """Leave nothing behind: the session's file system drops the folder when it closes."""
     jvm = spark.sparkContext._jvm

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tillstream.llm.common import numbered, quoted, small, without, words
+from tillstream.llm.common import numbered, packed, quoted, small, unpacked, without, words
 
 # Weights by source order, repeating, and the most epochs of a source.
 WEIGHTS = (5, 2, 1)
@@ -102,7 +102,7 @@ def fitting() -> Column:
 def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """Every document with its size, its source's size and target, and how often it is taken."""
     docs = docs.select(*quoted(without(docs, *ADDED)))
-    full = keyed(docs, seed)
+    full = keyed(docs.select(packed(docs), "doc_id", "source", "text"), seed)
     narrow = full.select("source", "size", "_key", "_part", "doc_id", "_hash")
     # A hot source is summed per task and range before anything moves.
     parts = small(narrow.groupBy("source", "_part").agg(F.sum("size").alias("_words")), "mix-parts")
@@ -147,9 +147,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: in
         .where("_fits > 0")
         .groupBy("source")
         .agg(
-            F.max(F.struct("_key", F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "_hash", "_fits", "_rows")).alias("_c")
+            F.max(F.struct("_key", "doc_id", "_hash", "_fits", "_rows")).alias("_c")
         )
-        .select("source", F.struct("_c._key", "_c.id", "_c._hash").alias("_last"), "_c._fits", "_c._rows")
+        .select("source", F.struct("_c._key", "_c.doc_id", "_c._hash").alias("_last"), "_c._fits", "_c._rows")
     )
     b, c = border.alias("b"), cut.alias("c")
     rules = small(
@@ -159,7 +159,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: in
         ),
         "mix-rules",
     )
-    place = F.struct("_key", F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "_hash")
+    # Structs are compared field by field with nulls first, as the window above sorts them.
+    place = F.struct("_key", "doc_id", "_hash")
     fraction = (F.col("_part") < F.col("_border")) | (
         (F.col("_part") == F.col("_border")) & F.coalesce(place <= F.col("_last"), F.lit(False))
     )
@@ -168,7 +169,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: in
         # The budget ends among equal rows: they are numbered, apart from all others.
         parted = F.coalesce(F.col("_fits").isNotNull() & (place == F.col("_last")), F.lit(False))
         tied = numbered(
-            out.where(parted).withColumn("_all", F.xxhash64(*quoted(docs.columns))), ["_source"], "_nth", ("_all",)
+            out.where(parted).withColumn("_all", F.xxhash64("row")), ["_source"], "_nth", ("_all",)
         )
         tied = tied.withColumn("_taken", F.col("_nth") < F.col("_fits")).drop("_all", "_nth")
         out = out.where(~parted).withColumn("_taken", fraction).unionByName(tied)
@@ -177,11 +178,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: in
     return (
         out.withColumn("copies", copies)
         .withColumn("taken", F.col("size") * F.col("copies"))
-        .select(*quoted(docs.columns), *ADDED)
+        .select(*unpacked(docs.columns), *ADDED)
     )
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """The mix itself: each document as often as it is taken."""
-    rows = mixed.where("copies > 0").withColumn("_copy", F.explode(F.expr("sequence(1L, copies)")))
-    return rows.select(*quoted(without(mixed, *ADDED)))
+    kept = without(mixed, *ADDED)
+    rows = mixed.where("copies > 0").select(packed(mixed), F.explode(F.expr("sequence(1L, copies)")))
+    return rows.select(*unpacked(kept))

@@ -23,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillstream.llm.common import append_arrow, quoted, stored, texts_as_bytes
+from tillstream.llm.common import append_arrow, packed, stored, texts_as_bytes, unpacked
 
 RADIUS = 3
 WORDS = 3
@@ -276,10 +276,8 @@ def deduplicate(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> Da
     same = rows["doc_id"].eqNullSafe(first["_id"]) & (rows["_h"] == first["_h"])
     # Rows that share id and text cannot be told apart by the join below.
     winners = stored(rows.join(first, same).select("_id", first["_h"], "_rows"), "winners")
-    kept = docs.withColumn("_text_hash", F.xxhash64("text")).join(
-        winners, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_h"))
-    )
-    columns = quoted(docs.columns)
-    once = kept.where("_rows = 1").select(*columns)
-    many = kept.where("_rows > 1").dropDuplicates(["doc_id", "_text_hash"]).select(*columns)
-    return once.unionAll(many)
+    marked = docs.select(packed(docs), F.col("doc_id").alias("of"), F.xxhash64("text").alias("text_hash"))
+    kept = marked.join(winners, marked["of"].eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_h")))
+    once = kept.where("_rows = 1").select("row")
+    many = kept.where("_rows > 1").dropDuplicates(["of", "text_hash"]).select("row")
+    return once.unionAll(many).select(*unpacked(docs.columns))

@@ -32,7 +32,7 @@ from functools import cache
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tillstream.llm.common import quoted, stored, texts_as_bytes, without
+from tillstream.llm.common import packed, quoted, stored, texts_as_bytes, unpacked, without
 
 LENGTH = 400
 GRAM = 200
@@ -533,17 +533,15 @@ def cut(docs: DataFrame, group: int = GROUP) -> DataFrame:
     Adds ``removed`` (sorted byte spans) and ``kept`` (the remaining bytes).
     """
     docs = docs.select(*quoted(without(docs, "removed", "kept")))
-    marked = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    narrow = marked.select("doc_id", "text", F.col("_text_hash").alias("hash"))
+    marked = docs.select(packed(docs), "doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
     spans = (
-        repeats(narrow, group)
-        .groupBy(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"))
-        .agg(F.collect_set(F.struct("start", "stop")).alias("_spans"))
+        repeats(marked.select("doc_id", "text", "hash"), group)
+        .groupBy(F.col("doc_id").alias("id"), F.col("hash").alias("of"))
+        .agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     )
-    both = marked.join(
-        spans, marked["doc_id"].eqNullSafe(F.col("_id")) & (marked["_text_hash"] == F.col("_hash")), "left"
-    )
-    names = docs.columns
+    same = marked["doc_id"].eqNullSafe(F.col("id")) & (marked["hash"] == F.col("of"))
+    both = marked.join(spans, same, "left").select("row", F.col("row").getField("text").alias("text"), "spans")
+    row = both.schema["row"]
 
     def run(batches):
         import pyarrow as pa
@@ -551,17 +549,17 @@ def cut(docs: DataFrame, group: int = GROUP) -> DataFrame:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
         for batch in batches:
             removed, kept = [], []
-            for text, spans in zip(texts_as_bytes(batch), batch.column(len(names)).to_pylist()):
+            for text, spans in zip(texts_as_bytes(batch), batch.column(2).to_pylist()):
                 found = np.array([(s["start"], min(s["stop"], len(text))) for s in spans or []], np.int64)
                 parts = merged(found.reshape(-1, 2)).tolist()
                 edges = [0, *[e for p in parts for e in p], len(text)]
                 kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
                 removed.append([{"start": a, "stop": b} for a, b in parts])
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in range(len(names))], pa.array(removed, kind), pa.array(kept, pa.binary())],
-                names=[*names, "removed", "kept"],
+                [batch.column(0), pa.array(removed, kind), pa.array(kept, pa.binary())],
+                names=["row", "removed", "kept"],
             )
 
     added = T.StructType.fromDDL("removed array<struct<start:int,stop:int>>, kept binary")
-    schema = T.StructType(list(docs.schema) + list(added))
-    return both.select(*quoted(names), "_spans").mapInArrow(run, schema)
+    found = both.mapInArrow(run, T.StructType([row, *added]))
+    return found.select(*unpacked(docs.columns), "removed", "kept")
