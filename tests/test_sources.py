@@ -1,12 +1,13 @@
-from datetime import datetime
-
+import glob
 import os
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from tillstream.operators import erp, history
 from tillstream.plans import ingest, schemas
-from tillstream.sources import documents, messages, tables
+from tillstream.sources import documents, messages, seen, tables
 
 LOAD = datetime(2024, 5, 6, 7, 8, 9)
 SHOP = "my.shop"
@@ -70,10 +71,132 @@ def test_write_targets_is_idempotent_per_load(spark, tmp_path):
     for _ in range(2):
         tables.write_targets({"a": df, "b": df.where("id < 3")}, "one", str(tmp_path))
     tables.write_targets({"a": df}, "two", str(tmp_path))
-    assert spark.read.parquet(f"{tmp_path}/a").groupBy("load_id").count().count() == 2
+    assert tables.read_target(spark, str(tmp_path), "a").groupBy("load_id").count().count() == 2
+    assert tables.read_target(spark, str(tmp_path), "a").count() == 20
+    assert tables.read_target(spark, str(tmp_path), "b").count() == 3
+    # What a repeated load replaced is gone, not only hidden.
     assert spark.read.parquet(f"{tmp_path}/b").count() == 3
 
 
+def test_a_failed_load_shows_nothing(spark, tmp_path):
+    base, df = str(tmp_path), spark.range(10)
+    tables.write_targets({"a": df, "b": df}, "one", base)
+    broken = df.select(F.raise_error(F.lit("no space left")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no space left"):
+        tables.write_targets({"a": df, "b": broken, "c": df}, "two", base)
+    assert [tables.read_target(spark, base, n).count() for n in "ab"] == [10, 10]
+    assert tables.commits(spark, base).select("load_id").distinct().count() == 1
+    # A load whose process dies before its commit leaves files that nobody reads.
+    df.write.parquet(f"{base}/a/load_id=three/attempt=a-dead")
+    assert tables.read_target(spark, base, "a").count() == 10
+    # Sent again, it appears; a repeat that fails keeps what the first attempt committed.
+    tables.write_targets({"a": df, "b": df}, "two", base)
+    with pytest.raises(Exception, match="no space left"):
+        tables.write_targets({"a": df, "b": broken}, "two", base)
+    assert [tables.read_target(spark, base, n).count() for n in "ab"] == [20, 20]
+
+
+def test_commit_records_tell_rows_and_files(spark, tmp_path):
+    df = spark.range(100).repartition(7)
+    at = datetime(2024, 5, 1, 10)
+    tables.write_targets({"a": df, "none": df.where("id < 0")}, "1", str(tmp_path), at)
+    rows = {r.target: r for r in tables.commits(spark, str(tmp_path)).collect()}
+    assert rows["a"].rows_added == 100 and rows["none"].rows_added == 0
+    assert rows["a"].files_added == len([f for f in glob.glob(f"{tmp_path}/a/*/*/part-*")]) == 1
+    assert rows["a"].committed_at == at and rows["a"].load_id == "1"
+    assert tables.read_target(spark, str(tmp_path), "none").columns == ["id", "load_id"]
+
+
+def test_target_files_are_sized(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "TARGET_BYTES", 200_000)
+    df = spark.range(200_000).select(F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name, None)
+    tables.write_targets({"a": df}, "one", str(tmp_path))
+    assert tables.commits(spark, str(tmp_path)).first().files_added > 4
+    assert spark.conf.get(name, None) == before
+
+
+def test_seen_keys_do_not_grow_with_loads(spark, tmp_path):
+    path, day = str(tmp_path / "seen"), datetime(2024, 3, 1)
+    ttl = int(timedelta(hours=72).total_seconds() * 1000)
+    folders, files = [], []
+    for batch in range(50):
+        now = day + timedelta(hours=5 * batch)
+        seen.expire(spark, path, now, ttl)
+        seen.compact(spark, path, 3)
+        keys = spark.createDataFrame([(f"k{batch}",), ("again",)], "txn_key string")
+        seen.add(keys, path, f"live-{batch}", now)
+        folders.append(len(seen.days(spark, path)))
+        files.append(len(glob.glob(f"{path}/*/*/part-*")))
+    # Ten days in batches of five hours: three days and the part of a fourth are kept.
+    assert max(folders) <= 4 and max(files[25:]) <= max(files[:25]) and max(files) <= 20
+    got = {r.txn_key for r in seen.known(spark, path, now, ttl, "other").collect()}
+    assert got == {"again"} | {f"k{b}" for b in range(50) if day + timedelta(hours=5 * b) > now - timedelta(hours=72)}
+    own = {r.txn_key for r in seen.known(spark, path, now, ttl, "live-49").collect()}
+    assert "k49" not in own and "again" in own
+    plan = seen.known(spark, path, now, ttl, "x")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(seen_day" in plan
+
+
+def test_a_laid_out_history_is_pruned_and_not_moved(spark, tmp_path):
+    path = f"file://{tmp_path}/history"
+    rows = spark.range(4000).selectExpr(
+        "lpad(id % 7, 4, '0') as retailstoreid", "date_add(date'2024-01-01', cast(id % 20 as int)) as businessdaydate",
+        "'0000001001' as workstationid", "cast(id as string) as transactionsequencenumber",
+    )
+    history.lay_out(rows.where("transactionsequencenumber % 2 = 0"), path, "day", 8)
+    history.lay_out(rows.where("transactionsequencenumber % 2 = 1"), path, "day", 8)
+    stored = history.laid_out_keys(spark, path, date(2024, 1, 18), "day", 8)
+    assert sorted(r[0] for r in stored.collect()) == sorted(
+        r[0] for r in history.keys_of(rows.where("businessdaydate >= date'2024-01-18'")).collect()
+    )
+    live = history.keys_of(rows).withColumn("x", F.lit(1))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = history.drop_seen(live, stored)
+        assert left.count() == 4000 - 600
+        plan = left._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    scan = next(part for part in plan.split("FileScan")[1:] if "history_" in part)
+    assert "PartitionFilters: [isnotnull(period" in scan and "Bucketed: true" in scan
+    # Distinct live keys are exchanged; only a sort may stand between the join and the history's files.
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "history_" in line and "FileScan" in line)
+    above = []
+    for line in reversed(lines[:at]):
+        if "Join" in line or line.lstrip("AE ").startswith(":"):  # the other side
+            break
+        above.append(line)
+    assert not any("Exchange" in line for line in above), plan
+
+
+def test_document_numbers_rewrite_only_plants_that_grow(spark, tmp_path):
+    path = f"{tmp_path}/numbers"
+    numbers = [("0001", "31", "0005"), ("0001", "32", "0005"), ("0002", "31", "0009"), ("0003", "31", "0001")]
+    erp.store_document_numbers(spark.createDataFrame(numbers, "plant string, doctype string, maxnumber string"), path)
+    movements = spark.createDataFrame(
+        [(1, "a", 0, "0001", "3100"), (2, "b", 0, "0002", "3100"), (3, "c", 0, "0007", "3100")],
+        "doc_id long, txn_key string, pos long, retailstoreid string, financialtypecode string",
+    )
+    notes = spark.createDataFrame(
+        [(1, "a", 0, "NOTE", "XX0007"), (2, "b", 0, "NOTE", "XX0004"), (3, "c", 0, "NOTE", "XX0004")],
+        "doc_id long, txn_key string, pos long, fieldname string, fieldvalue string",
+    )
+    files = lambda p: sorted(glob.glob(f"{path}/plant={p}/part-*"))
+    before = {p: files(p) for p in ("0001", "0002", "0003")}
+    erp.raise_document_numbers(movements, notes, path)
+    assert files("0001") != before["0001"] and all(files(p) == before[p] for p in ("0002", "0003"))
+    want = {("0001", "31", "0007"), ("0001", "32", "0005"), ("0002", "31", "0009"), ("0003", "31", "0001")}
+    stored = lambda: {(r.plant, r.doctype, r.maxnumber) for r in erp.stored_document_numbers(spark, path).collect()}
+    assert stored() == want
+    after = files("0001")
+    erp.raise_document_numbers(movements, notes, path)
+    assert stored() == want and files("0001") == after
+
+
 def test_dictionaries_reload_only_when_due(spark, tmp_path):
     paths = {n: f"{tmp_path}/{n}" for n in ("marm", "tvarvc", "export")}
     for p in paths.values():
@@ -134,7 +257,7 @@ def test_a_load_writes_every_table(spark, segment, dicts, tmp_path):
     # Both sendings are read; of the three transactions two are loaded, merged under one key.
     assert counts == {"segments": 22, "transactions": 1}
     assert stage_folders(spark) == before
-    read = lambda n: spark.read.parquet(f"{tmp_path}/{n}")
+    read = lambda n: tables.read_target(spark, str(tmp_path), n)
     # The unresolved pack drops transaction 8 everywhere, the repeated message adds nothing.
     assert read("raw_bptransaction").count() == 2
     assert {r.workstationid for r in read("pst_bptransaction").collect()} == {"0000001002"}
@@ -181,7 +304,7 @@ def test_a_damaged_code_and_a_resend_after_an_unresolved_pack(spark, segment, di
         query.awaitTermination()
 
     def stored(name):
-        return spark.read.parquet(f"{base}/{name}")
+        return tables.read_target(spark, base, name)
 
     before = stage_folders(spark)
     arrive(message("9UP9", "x1"))  # no such pack: dropped, and not seen

@@ -8,6 +8,7 @@ from tillstream.functions.keys import TXN, with_txn_key
 from tillstream.operators import cancel, corrections, dictionaries, erp, staging, synthetic
 from tillstream.operators.history import rededup
 from tillstream.queries.catalog import Tables, ctes, register
+from tillstream.sources import tables
 
 ONLINE = "web.store"
 LINE = ["transactionsequencenumber", "pos"]
@@ -904,9 +905,7 @@ def j15(t):
     return rededup(moved, stored, order=["pos"], key="key")
 
 
-@register(
-    "a13_document_numbers",
-    f"""{ctes('movements', 'txn_ext')},
+_NUMBERS = f"""{ctes('movements', 'txn_ext')},
 f as (select doc_id, txn_key, min_by(retailstoreid, pos) as plant,
   min_by(coalesce(financialtypecode, ''), pos) as kind from movements group by all),
 n as (select doc_id, txn_key, min_by(fieldvalue, pos) as note from txn_ext
@@ -916,14 +915,31 @@ h as (select plant, substr(kind, 1, 2) as doctype, max(substr(note, 3)) as candi
 c as (select distinct retailstoreid as plant, unnest(['31', '32', '33']) as doctype,
   '00050000' as maxnumber from movements)
 select plant, doctype, greatest(maxnumber, candidate) as maxnumber
-from c left join h using (plant, doctype)""",
-)
-def a13(t):
-    movements = t.movements
-    current = movements.select(F.col("retailstoreid").alias("plant")).distinct().select(
+from c left join h using (plant, doctype)"""
+
+
+def _first_numbers(movements):
+    return movements.select(F.col("retailstoreid").alias("plant")).distinct().select(
         "plant",
         F.explode(F.array(F.lit("31"), F.lit("32"), F.lit("33"))).alias("doctype"),
         F.lit("00050000").alias("maxnumber"),
     )
+
+
+@register("a13_document_numbers", _NUMBERS)
+def a13(t):
+    movements = t.movements
     notes = staging.prepare_txn_extensions(t.txn_ext)
-    return erp.max_document_numbers(movements, notes, current)
+    return erp.max_document_numbers(movements, notes, _first_numbers(movements))
+
+
+@register("a13_stored_numbers", _NUMBERS)
+def a13_stored(t):
+    """Two loads raise a stored table, the first is then repeated and raises nothing."""
+    movements, notes = t.movements, staging.prepare_txn_extensions(t.txn_ext)
+    path = tables.shared_dir(t.spark, "numbers")
+    erp.store_document_numbers(_first_numbers(movements), path)
+    for part in (0, 1, 0):
+        mine = (F.col("doc_id") % 2) == part
+        erp.raise_document_numbers(movements.where(mine), notes.where(mine), path)
+    return erp.stored_document_numbers(t.spark, path).select("plant", "doctype", "maxnumber")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F, types as T
 
@@ -223,13 +223,40 @@ where strptime(businessdaydate, '%Y%m%d') >= (select max(strptime(businessdaydat
   - interval 90 day from transactions)""",
 )
 def s7(t):
+    """The window of a laid-out history; these days span years, so folders are months."""
     stored = t.transactions.withColumn(
         "businessdaydate", F.to_date("businessdaydate", "yyyyMMdd")
     )
     path = tables.shared_dir(t.spark, "history")
-    stored.write.parquet(path)
-    newest = t.spark.read.parquet(path).agg(F.max("businessdaydate")).scalar()
-    return history.history_keys(t.spark, path, 90, newest)
+    history.lay_out(stored, path, "month", HISTORY_BUCKETS)
+    newest = stored.agg(F.max("businessdaydate")).first()[0]
+    return history.laid_out_keys(t.spark, path, newest - timedelta(90), "month", HISTORY_BUCKETS).distinct()
+
+
+HISTORY_BUCKETS = 8
+
+
+def history_of(t: Tables):
+    """What the history queries take as stored before."""
+    day = F.to_date("businessdaydate", "yyyyMMdd")
+    return t.transactions.where("transactiontypecode <> '1001'").withColumn("businessdaydate", day)
+
+
+@register(
+    "j11_stored_history",
+    f"""{ctes('transactions')},
+h as (select distinct txn_key from transactions where businessdaydate >= '19980101'
+  and transactiontypecode <> '1001')
+select transactionsequencenumber from transactions where txn_key not in (select txn_key from h)""",
+)
+def j11_stored(t):
+    """The same against a laid-out history, which two loads have filled."""
+    path = tables.shared_dir(t.spark, "history")
+    for part in (0, 1):
+        mine = history_of(t).where((F.col("doc_id") % 2) == part)
+        history.lay_out(mine, path, "month", HISTORY_BUCKETS)
+    seen = history.laid_out_keys(t.spark, path, date(1998, 1, 1), "month", HISTORY_BUCKETS)
+    return history.drop_seen(t.transactions, seen).select("transactionsequencenumber")
 
 
 @register(
@@ -300,6 +327,26 @@ def s11(t):
     )
 
 
+@register(
+    "s11_appended",
+    f"""with {_RAW_EXT}
+select cast(event_id as varchar) as transactionsequencenumber, fieldvalue,
+  strftime(load_date_xml, '%Y-%m-%d') as load_date_xml from raw""",
+)
+def s11_appended(t):
+    """A growing source appended again and again; each time only what is newer is added."""
+    raw = history.discount_ext_model(_raw_ext(t))
+    path = tables.shared_dir(t.spark, "appended")
+    for day in (8, 16, 16, 24, 40):
+        until = datetime(2024, 1, 1) + timedelta(day - 1)
+        history.append_incremental(t.spark, raw.where(F.col("load_ts_xml") < F.lit(until)), path)
+    history.append_incremental(t.spark, raw, path)
+    stored = t.spark.read.schema(raw.schema).parquet(path)
+    return stored.select(
+        "transactionsequencenumber", "fieldvalue", F.col("load_date_xml").cast("string").alias("load_date_xml")
+    )
+
+
 @register(
     "s12_discount_model",
     f"""{ctes('txn_discounts')}
@@ -378,7 +425,7 @@ def s9(t):
     for load_id in ("seven", "seven", "eight"):
         tables.write_targets(routes, load_id, base)
     stored = [
-        t.spark.read.parquet(f"{base}/{table}").select(
+        tables.read_target(t.spark, base, table).select(
             F.lit(table).alias("target"), "load_id", "txn_key"
         )
         for table in routes
@@ -414,6 +461,24 @@ def o1(t):
     )
 
 
+@register(
+    "o1_committed_loads",
+    f"""select event_type as load_id, timestamp '2024-03-01 00:00:00' + interval 1 hour * (
+    dense_rank() over (order by event_type)) as committed_at, 'append' as operation,
+  unnest(['all', 'first']) as target, unnest([count(*), count(*) filter (where event_id % 2 = 0)]) as rows_added
+from events group by event_type""",
+)
+def o1_committed(t):
+    """Loads of several targets, one sent twice, told by their commit records."""
+    base, events = tables.shared_dir(t.spark, "committed"), t.table("events")
+    kinds = sorted(r[0] for r in events.select("event_type").distinct().collect())
+    for at, kind in [*enumerate(kinds, 1), (1, kinds[0])]:
+        mine = events.where(F.col("event_type") == kind)
+        routes = {"all": mine, "first": mine.where("event_id % 2 = 0")}
+        tables.write_targets(routes, kind, base, datetime(2024, 3, 1, at))
+    return history.committed_loads(t.spark, base).drop("files_added")
+
+
 @register(
     "u1_live_and_stored_union",
     f"""{ctes('transactions')},

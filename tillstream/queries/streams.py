@@ -188,7 +188,7 @@ def t5(t):
 
     run.drain(stream.writeStream.foreachBatch(write), t.spark)
     parts = [
-        t.spark.read.parquet(f"{base}/raw_{k}").select(F.lit(f"raw_{k}").alias("target"), "event_id")
+        tables.read_target(t.spark, base, f"raw_{k}").select(F.lit(f"raw_{k}").alias("target"), "event_id")
         for k in kinds
     ]
     out = parts[0]
@@ -286,7 +286,7 @@ def ingest_batch(t):
     base = tables.shared_dir(t.spark, "load")
     # The same messages twice: the repeats add nothing.
     ingest.ingest_batch(raw.unionAll(raw), _dictionaries(t), SETTINGS, base, LOAD, "one")
-    return t.spark.read.parquet(f"{base}/pst_bptender").select(*_TENDER_COLUMNS)
+    return tables.read_target(t.spark, base, "pst_bptender").select(*_TENDER_COLUMNS)
 
 
 @register(
@@ -307,7 +307,7 @@ def ingest_two_loads(t):
     even, odd = raw.where("document % 2 = 0"), raw.where("document % 2 <> 0")
     for load_id, part in (("even", even), ("odd", odd), ("odd", odd)):
         ingest.ingest_batch(part.drop("document"), _dictionaries(t), SETTINGS, base, LOAD, load_id)
-    return t.spark.read.parquet(f"{base}/raw_bptransaction").select(
+    return tables.read_target(t.spark, base, "raw_bptransaction").select(
         "load_id", "transactionsequencenumber"
     )
 
@@ -350,7 +350,7 @@ def ingest_resent(t):
     def stored(name, kind, *more):
         none = F.lit(None).cast("string")
         columns = [F.col(m) for m in more] or [none, none]
-        df = t.spark.read.parquet(f"{base}/{name}")
+        df = tables.read_target(t.spark, base, name)
         if name == "quarantine_segments":
             key = F.get_json_object("fields", "$.transactionsequencenumber")
             df = df.withColumn("transactionsequencenumber", key)
@@ -387,4 +387,4 @@ def ingest_stream(t):
     stream = tables.stream_table(t.spark, path, raw.schema)
     writer = ingest.stream_writer(stream, tables.Dictionaries(t.spark, paths), SETTINGS, base, "live")
     run.drain(writer, t.spark)
-    return t.spark.read.parquet(f"{base}/pst_bptender").select(*_TENDER_COLUMNS)
+    return tables.read_target(t.spark, base, "pst_bptender").select(*_TENDER_COLUMNS)

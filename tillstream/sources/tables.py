@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import threading
 import time
@@ -9,6 +10,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -89,21 +91,120 @@ def stream_table(
     return reader.parquet(path)
 
 
-def write_targets(routes: dict[str, DataFrame], load_id: str, base_path: str) -> None:
-    """Append each route to its own table directory.
+#: Size of a target's files before compression.
+TARGET_BYTES = 256 << 20
+#: The folder of commit records, beside the targets.
+COMMITS = "load_commits"
+_RECORD = (
+    "load_id string, attempt string, committed_at timestamp_ntz, operation string, "
+    "target string, rows_added long, files_added long"
+)
+
+
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]):
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
-    A load owns the ``load_id=<id>`` folder of each table and replaces only that, so a
-    repeated load leaves the same rows and loads of other ids stay.  Rows are rebalanced
-    to whole files by size.
-    """
 
-    def write(table: str) -> None:
-        target = f"{base_path}/{table}/load_id={load_id}"
-        routes[table].hint("rebalance").write.mode("overwrite").parquet(target)
+def _data_files(spark: SparkSession, path: str) -> int:
+    files, where = _file_system(spark, path)
+    return sum(s.getPath().getName().startswith("part-") for s in files.listStatus(where))
+
 
-    # Small targets leave most of a cluster idle, so a few are written at a time.
-    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
-        list(pool.map(write, routes))
+def _commit(spark: SparkSession, base_path: str, records: list[dict]) -> None:
+    """All records of a load become visible by one rename."""
+    attempt = records[0]["attempt"]
+    files, pending = _file_system(spark, f"{base_path}/{COMMITS}/_pending-{attempt}.json")
+    out = files.create(pending, True)
+    try:
+        out.write(bytearray("".join(json.dumps(r) + "\n" for r in records).encode()))
+    finally:
+        out.close()
+    _, done = _file_system(spark, f"{base_path}/{COMMITS}/{attempt}.json")
+    if not files.rename(pending, done):
+        raise OSError(f"load could not be committed to {done}")
+
+
+def commits(spark: SparkSession, base_path: str) -> DataFrame:
+    """One row for each load and target; of a repeated load the last commit counts."""
+    path = f"{base_path}/{COMMITS}"
+    if not exists(spark, path):
+        return spark.createDataFrame([], _RECORD)
+    records = spark.read.schema(_RECORD).json(path)
+    place = F.struct("committed_at", "attempt")
+    last = records.groupBy("load_id").agg(F.max(place).alias("_last"))
+    return (
+        records.join(last, "load_id")
+        .where((F.col("attempt") == F.col("_last.attempt")))
+        .select(*records.columns)
+    )
+
+
+def write_targets(
+    routes: dict[str, DataFrame],
+    load_id: str,
+    base_path: str,
+    committed_at: datetime | None = None,
+    operation: str = "append",
+) -> None:
+    """Append each route to its own table directory; all of them become visible at once.
+
+    Targets are written under the folder of this attempt.  When the last one is there, one
+    commit record names the attempt with rows and files of each target, and
+    :func:`read_target` reads committed attempts only.  A load that fails leaves nothing
+    visible.  A repeated load is a new attempt whose commit replaces the one before, so it
+    leaves the same rows; what it replaced is deleted.  Rows are rebalanced to files of
+    ``TARGET_BYTES``.
+    """
+    if not routes:
+        return
+    spark = next(iter(routes.values())).sparkSession
+    attempt = f"a-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+    def folder(table: str, of: str = attempt) -> str:
+        return f"{base_path}/{table}/load_id={load_id}/attempt={of}"
+
+    def write(table: str) -> dict:
+        routes[table].hint("rebalance").write.parquet(folder(table))
+        # The count comes from the files' footers.
+        rows = spark.read.parquet(folder(table)).count()
+        return {"target": table, "rows_added": rows, "files_added": _data_files(spark, folder(table))}
+
+    before = {
+        (r["target"], r["attempt"]) for r in commits(spark, base_path).where(F.col("load_id") == load_id).collect()
+    }
+    try:
+        # Small targets leave most of a cluster idle, so a few are written at a time.
+        with _settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_BYTES)}):
+            with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+                written = list(pool.map(write, routes))
+    except BaseException:
+        for table in routes:
+            delete(spark, folder(table))
+        raise
+    told = (committed_at or datetime.now()).isoformat()
+    common = {"load_id": load_id, "attempt": attempt, "committed_at": told, "operation": operation}
+    _commit(spark, base_path, [common | w for w in written])
+    for table, old in before:
+        delete(spark, folder(table, old))
+
+
+def read_target(spark: SparkSession, base_path: str, table: str) -> DataFrame:
+    """Rows of the committed loads of a target, with their ``load_id``.
+
+    Attempts are folders, so the join with the commit records prunes what is not committed.
+    """
+    known = commits(spark, base_path).where(F.col("target") == table).select("load_id", "attempt")
+    stored = spark.read.parquet(f"{base_path}/{table}").drop("load_id")
+    columns = [c for c in stored.columns if c != "attempt"]
+    return stored.join(F.broadcast(known), "attempt").select(*columns, "load_id")
 
 
 class Dictionaries:
