@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillstream.plans import ingest
+from tillstream.operators import erp
+from tillstream.plans import enterprise, ingest
 from tillstream.queries.catalog import Tables, ctes, register
 from tillstream.queries.rules import ONLINE
 from tillstream.queries.stores import LOAD, outbound_rows
@@ -388,3 +389,86 @@ def ingest_stream(t):
     writer = ingest.stream_writer(stream, tables.Dictionaries(t.spark, paths), SETTINGS, base, "live")
     run.drain(writer, t.spark)
     return tables.read_target(t.spark, base, "pst_bptender").select(*_TENDER_COLUMNS)
+
+
+# Days with an even number are loaded first, so every later day finds the closings of the
+# day before; the type 1015 and the workstation change before, repeats go after.
+_ENTERPRISE = f"""{ctes('transactions', 'items', 'tenders', 'txn_ext', 'item_ext', 'marm', 'mean', 'tvarvc')},
+flags as (select low from tvarvc where name = 'CHK_FIXES' and type = 'S'),
+u as (select distinct doc_id, txn_key from items left join
+  (select doc_id, txn_key, sum(tenderamount) as paid from tenders group by all)
+  using (doc_id, txn_key) where coalesce(paid, 0) = 0),
+o as (select distinct doc_id, txn5 from txn_ext where fieldname = 'SOURCE' and fieldvalue = '{ONLINE}'),
+eans as (select distinct matnr, umrez from marm join mean using (matnr, meinh)
+  where lfnum = '00001' and ean11 <> ''),
+bad as (select distinct doc_id, txn_key from items left join eans
+  on matnr = lpad(split_part(itemid, 'UP', 1), 18, '0') and umrez = split_part(itemid, 'UP', 2)
+  where contains(itemid, 'UP') and eans.matnr is null),
+h as (select t.pos, t.retailstoreid, t.businessdaydate, t.begindatetimestamp, t.transactionsequencenumber,
+    case when transactiontypecode = '1015' and (doc_id, txn_key) in (select (doc_id, txn_key) from u)
+      then '1014' else transactiontypecode end as transactiontypecode,
+    case when o.doc_id is null then workstationid else '0000001002' end as workstationid,
+    strptime(businessdaydate, '%Y%m%d') as day, date_diff('day', date '1992-01-01', strptime(businessdaydate, '%Y%m%d')) % 2 as load
+  from transactions t left join o using (doc_id, txn5)
+  where (doc_id, txn_key) not in (select doc_id, txn_key from bad)),
+e as (select *, coalesce(substr(begindatetimestamp, 9, 6) < '060000'
+    and substr(begindatetimestamp, 1, 8) = businessdaydate, false) as early from h),
+m as (select e.*, min(case when early and transactiontypecode = '1601' and workstationid = '0000000000'
+      then begindatetimestamp end) over (partition by retailstoreid, businessdaydate order by pos
+      rows between unbounded preceding and 1 preceding) as before_min,
+    min(case when early and transactiontypecode = '1601' and workstationid = '0000000000'
+      then begindatetimestamp end) over (partition by retailstoreid, businessdaydate) as all_min from e),
+first_load as (select *, coalesce(early and begindatetimestamp <= least(businessdaydate || '060000',
+    case when transactiontypecode = '1601' then before_min else all_min end)
+    and (transactiontypecode in ('1601', '1301', '1302', '1305') or transactiontypecode like '10%'), false) as moved
+  from m where load = 0),
+closings as (select retailstoreid, max(begindatetimestamp) as closedate,
+    strftime(day - to_days(case when moved then 1 else 0 end), '%Y%m%d') as closed_day
+  from first_load where transactiontypecode = '1601' and workstationid = '0000000000'
+    and begindatetimestamp is not null group by all),
+d as (select m.*, case when (substr(closedate, 1, 8) = closed_day and substr(closedate, 9, 6) > '060000')
+    or (substr(closedate, 1, 8) = businessdaydate and substr(closedate, 9, 6) < '060000')
+    then closedate else businessdaydate || '060000' end as deadline
+  from m left join closings c on c.retailstoreid = m.retailstoreid
+    and c.closed_day = strftime(m.day - interval 1 day, '%Y%m%d') where load = 1),
+second_load as (select * exclude (deadline), coalesce(early and begindatetimestamp <= least(deadline,
+    case when transactiontypecode = '1601' then before_min else all_min end)
+    and (transactiontypecode in ('1601', '1301', '1302', '1305') or transactiontypecode like '10%'), false) as moved from d)
+select case load when 0 then 'first' else 'second' end as load_id, transactionsequencenumber, transactiontypecode,
+  workstationid, strftime(day - to_days(case when moved then 1 else 0 end), '%Y%m%d') as businessdaydate, moved
+from (select * from first_load union all select * from second_load)"""
+
+
+@register("ingest_enterprise", _ENTERPRISE)
+def ingest_enterprise(t):
+    """Two loads under the enterprise rules; the second also brings all of the first again."""
+    flags = t.tvarvc.unionByName(
+        t.spark.range(1).select(
+            F.lit("CHK_FIXES").alias("name"),
+            F.lit("S").alias("type"),
+            F.explode(F.array(F.lit(erp.CASHOUT), F.lit(erp.ONLINE))).alias("low"),
+        )
+    )
+    dicts = {n: getattr(t, n) for n in ("marm", "mean", "mara")} | {"tvarvc": tables.cut_lineage(flags)}
+    names = {
+        enterprise.TXNS: "transactions",
+        enterprise.ITEMS: "items",
+        enterprise.TENDERS: "tenders",
+        enterprise.ITEM_EXT: "item_ext",
+        enterprise.TENDER_EXT: "tender_ext",
+        enterprise.TXN_EXT: "txn_ext",
+    }
+    # A store's day is one message here.
+    day = F.to_date("businessdaydate", "yyyyMMdd")
+    odd = F.date_diff(day, F.lit("1992-01-01").cast("date")) % 2
+    seg = {name: tables.cut_lineage(getattr(t, table)) for name, table in names.items()}
+    seg[enterprise.TXNS] = seg[enterprise.TXNS].withColumns(
+        {"store": F.col("retailstoreid"), "day": F.col("businessdaydate")}
+    )
+    settings = enterprise.Settings(ONLINE, "060000", document=("store", "day"))
+    base = tables.shared_dir(t.spark, "enterprise")
+    enterprise.load({n: df.where(odd == 0) for n, df in seg.items()}, dicts, settings, base, "first", LOAD)
+    enterprise.load(seg, dicts, settings, base, "second", LOAD)
+    return tables.read_target(t.spark, base, enterprise.target(enterprise.TXNS)).select(
+        "load_id", "transactionsequencenumber", "transactiontypecode", "workstationid", "businessdaydate", "moved"
+    )
