@@ -405,6 +405,46 @@ def s14(t):
     return grown.select("transactionsequencenumber", "is_aligned_tran", "operatorid")
 
 
+_GROWN = {
+    "raw_bptransaction": "transactions",
+    "raw_bpretaillineitem": "items",
+    "raw_bptender": "tenders",
+    "raw_bptenderextensions": "tender_ext",
+    "raw_bptransactextensio": "txn_ext",
+    "raw_bplineitemextensio": "item_ext",
+    "raw_bptransactiondisco": "txn_discounts",
+    "raw_bplineitemdiscount": "item_discounts",
+    "raw_bpfinancialmovemen": "movements",
+    "raw_bpfinacialmovement": "movement_ext",
+}
+
+
+@register(
+    "s14_stored_column",
+    f"""{ctes(*_GROWN.values())}, """
+    + "r as ("
+    + " union all ".join(f"select '{n}' as target, doc_id, txn_key from {t}" for n, t in _GROWN.items())
+    + """)
+select target, case when doc_id % 2 = 0 then 'before' else 'after' end as load_id, txn_key,
+  case when doc_id % 2 = 0 then false when doc_id % 3 = 0 then true end as is_aligned_tran, count(*) as rows_stored
+from r group by all""",
+)
+def s14_stored(t):
+    """Targets gain a column between two loads; nulls that the second brings stay null."""
+    base = tables.shared_dir(t.spark, "grown")
+    even = (F.col("doc_id") % 2) == 0
+    rows = {name: getattr(t, table).select("doc_id", "txn_key") for name, table in _GROWN.items()}
+    tables.write_targets({n: df.where(even) for n, df in rows.items()}, "before", base)
+    for name in rows:
+        tables.add_column(t.spark, base, name, "is_aligned_tran", "boolean", "false")
+    flag = F.when(F.col("doc_id") % 3 == 0, True)
+    later = {n: df.where(~even).withColumn("is_aligned_tran", flag) for n, df in rows.items()}
+    tables.write_targets(later, "after", base)
+    stored = [tables.read_target(t.spark, base, n).withColumn("target", F.lit(n)) for n in rows]
+    grouped = synthetic.union_all(*stored).groupBy("target", "load_id", "txn_key", "is_aligned_tran")
+    return grouped.agg(F.count(F.lit(1)).alias("rows_stored"))
+
+
 @register(
     "s9_targets",
     f"""{ctes(*_NAMES)}, {_TAGGED}

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillstream.operators import erp
+from tillstream.operators import audit, erp
 from tillstream.plans import enterprise, ingest
 from tillstream.queries.catalog import Tables, ctes, register
 from tillstream.queries.rules import ONLINE
 from tillstream.queries.stores import LOAD, outbound_rows
 from tillstream.sources import documents, messages, tables
-from tillstream.streaming import collect, dedup, run
+from tillstream.streaming import collect, counters, dedup, run
 
 # The live stream: events as files; user and type are the key, the id gives the order.
 _LIVE = "cast(user_id as varchar) || '|' || event_type as txn_key"
@@ -21,19 +21,24 @@ def _events(t: Tables):
 
 
 PARTS = 3
+#: Files of a part; each has rows of all its part.
+FILES = 4
 
 
-def _live(t: Tables, parts: int = PARTS):
-    """Events as a stream of bundles with a transaction key, in several micro-batches.
-
-    The files hold ascending ranges of ids and are written one after the other.
-    """
-    path, events = tables.shared_dir(t.spark, "live"), _events(t)
+def _write_live(t: Tables, path: str, which: range, parts: int = PARTS) -> None:
+    """Events of ascending ranges of ids, one part after the other."""
+    events = _events(t)
     step = (events.agg(F.max("event_id")).first()[0] or 0) // parts + 1
-    for part in range(parts):
+    for part in which:
         rows = events.where(F.floor(F.col("event_id") / step) == part)
-        rows.coalesce(1).write.mode("append").parquet(path)
-    return _keyed(tables.stream_table(t.spark, path, events.schema, max_files=1))
+        rows.repartition(FILES, "event_id").write.mode("append").parquet(path)
+
+
+def _live(t: Tables, parts: int = PARTS):
+    """Events as a stream of bundles with a transaction key, a micro-batch for each part."""
+    path = tables.shared_dir(t.spark, "live")
+    _write_live(t, path, range(parts), parts)
+    return _keyed(tables.stream_table(t.spark, path, _events(t).schema, max_files=FILES))
 
 
 def _keyed(df):
@@ -208,6 +213,37 @@ def t6(t):
     return run.to_table(replayed.select("event_id", "props"))
 
 
+@register(
+    "a15_stream_counts",
+    f"""with e as (select {_LIVE}, ts, event_id from events),
+seen as (select distinct txn_key from e where ts < timestamp '2024-01-03'),
+k as (select count(*) as n, count(distinct txn_key) filter (txn_key not in (select txn_key from seen)) as kept,
+  count(*) filter (txn_key in (select txn_key from seen)) as preloaded from e)
+select unnest(['rows_in', 'preloaded_drops', 'duplicates', 'passed', 'batches']) as stage,
+  unnest([n, preloaded, n - preloaded - kept, kept, {PARTS}]) as row_count from k""",
+)
+def a15_stream(t):
+    """Counters of three micro-batches, with a restart of the stream after the first."""
+    spark, seen = t.spark, tables.cut_lineage(_seen(t).distinct())
+    path, out, at, checkpoint = (tables.shared_dir(spark, n) for n in ("live", "out", "counts", "checkpoint"))
+    _write_live(t, path, range(1))
+    flagged = seen.withColumn("preloaded", F.lit(True))
+    with counters.counting(spark, at):
+        for more in (range(0), range(1, PARTS)):
+            _write_live(t, path, more)
+            live = _keyed(tables.stream_table(spark, path, _events(t).schema, max_files=FILES))
+            told = audit.tap(
+                live.join(flagged, "txn_key", "left"), "rows_in", preloaded_drops=F.count("preloaded")
+            ).drop("preloaded")
+            kept = audit.tap(dedup.dedup_stream(told, "event_id", initial=seen), "passed")
+            run.drain(kept.writeStream.format("parquet").option("path", out), spark, checkpoint=checkpoint)
+    counts = counters.batches(spark, at)
+    stages = {r["stage"]: r["row_count"] for r in counters.totals(spark, at).collect()}
+    stages["batches"] = counts.where("stage = 'rows_in' and row_count > 0").select("batch").distinct().count()
+    stages["duplicates"] = stages["rows_in"] - stages["preloaded_drops"] - stages["passed"]
+    return spark.createDataFrame(sorted(stages.items()), "stage string, row_count long")
+
+
 # --- whole loads -------------------------------------------------------------------
 
 SETTINGS = ingest.Settings(online_source=ONLINE)

@@ -95,6 +95,8 @@ def stream_table(
 TARGET_BYTES = 256 << 20
 #: The folder of commit records, beside the targets.
 COMMITS = "load_commits"
+#: And of columns that targets gained.
+COLUMNS = "added_columns"
 _RECORD = (
     "load_id string, attempt string, committed_at timestamp_ntz, operation string, "
     "target string, rows_added long, files_added long"
@@ -118,18 +120,31 @@ def _data_files(spark: SparkSession, path: str) -> int:
     return sum(s.getPath().getName().startswith("part-") for s in files.listStatus(where))
 
 
-def _commit(spark: SparkSession, base_path: str, records: list[dict]) -> None:
-    """All records of a load become visible by one rename."""
-    attempt = records[0]["attempt"]
-    files, pending = _file_system(spark, f"{base_path}/{COMMITS}/_pending-{attempt}.json")
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that appears whole, by one rename, or replaces the one there."""
+    folder, _, name = path.rpartition("/")
+    files, pending = _file_system(spark, f"{folder}/_pending-{uuid.uuid4().hex}")
     out = files.create(pending, True)
     try:
-        out.write(bytearray("".join(json.dumps(r) + "\n" for r in records).encode()))
+        out.write(bytearray(text.encode()))
     finally:
         out.close()
-    _, done = _file_system(spark, f"{base_path}/{COMMITS}/{attempt}.json")
+    _, done = _file_system(spark, path)
+    if files.exists(done):
+        files.delete(done, False)
     if not files.rename(pending, done):
-        raise OSError(f"load could not be committed to {done}")
+        raise OSError(f"{path} could not be written")
+
+
+def _commit(spark: SparkSession, base_path: str, records: list[dict]) -> None:
+    """All records of a load become visible at once."""
+    text = "".join(json.dumps(r) + "\n" for r in records)
+    put_text(spark, f"{base_path}/{COMMITS}/{records[0]['attempt']}.json", text)
+
+
+def _attempt() -> str:
+    """A name that sorts by time."""
+    return f"a-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
 def commits(spark: SparkSession, base_path: str) -> DataFrame:
@@ -166,7 +181,7 @@ def write_targets(
     if not routes:
         return
     spark = next(iter(routes.values())).sparkSession
-    attempt = f"a-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    attempt = _attempt()
 
     def folder(table: str, of: str = attempt) -> str:
         return f"{base_path}/{table}/load_id={load_id}/attempt={of}"
@@ -196,15 +211,47 @@ def write_targets(
         delete(spark, folder(table, old))
 
 
+def add_column(
+    spark: SparkSession, base_path: str, table: str, name: str, type_: str, default=None
+) -> None:
+    """Give a stored target a column: rows of loads before now have the default.
+
+    No file is rewritten.  Loads from now on may bring the column and keep their nulls.
+    """
+    record = {"target": table, "name": name, "type": type_, "default": default, "since": _attempt()}
+    if default is not None:
+        record["default"] = str(default)
+    if not any(r["name"] == name for r in _added_columns(spark, base_path, table)):
+        put_text(spark, f"{base_path}/{COLUMNS}/{table}-{name}.json", json.dumps(record) + "\n")
+
+
+def _added_columns(spark: SparkSession, base_path: str, table: str) -> list:
+    path = f"{base_path}/{COLUMNS}"
+    if not exists(spark, path):
+        return []
+    records = spark.read.schema("target string, name string, type string, default string, since string").json(path)
+    return records.where(F.col("target") == table).sort("since").collect()
+
+
 def read_target(spark: SparkSession, base_path: str, table: str) -> DataFrame:
     """Rows of the committed loads of a target, with their ``load_id``.
 
     Attempts are folders, so the join with the commit records prunes what is not committed.
     """
     known = commits(spark, base_path).where(F.col("target") == table).select("load_id", "attempt")
-    stored = spark.read.parquet(f"{base_path}/{table}").drop("load_id")
-    columns = [c for c in stored.columns if c != "attempt"]
-    return stored.join(F.broadcast(known), "attempt").select(*columns, "load_id")
+    path = f"{base_path}/{table}"
+    stored, added = spark.read.parquet(path), _added_columns(spark, base_path, table)
+    if added:
+        # One file's columns are taken for all, so the added ones are named.
+        schema = T.StructType([f for f in stored.schema if f.name not in {r["name"] for r in added}])
+        for r in added:
+            schema = schema.add(r["name"], T._parse_datatype_string(r["type"]))
+        stored = spark.read.schema(schema).parquet(path)
+        for r in added:
+            old = F.lit(r["default"]).cast(r["type"])
+            stored = stored.withColumn(r["name"], F.when(F.col("attempt") < r["since"], old).otherwise(F.col(r["name"])))
+    columns = [c for c in stored.columns if c not in ("attempt", "load_id")]
+    return stored.drop("load_id").join(F.broadcast(known), "attempt").select(*columns, "load_id")
 
 
 class Dictionaries:

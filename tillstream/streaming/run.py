@@ -49,10 +49,17 @@ def drain(
     spark: SparkSession,
     done: Callable[[], bool] | None = None,
     patience_s: float = 600.0,
+    checkpoint: str | None = None,
 ) -> None:
-    """Start, process all input, wait for ``done`` (timers need time to fire), stop."""
+    """Start, process all input, wait for ``done`` (timers need time to fire), stop.
+
+    A given checkpoint is kept, so a later run goes on from there.  Streams whose state has
+    a lifetime run empty batches for ever, also with ``availableNow``, so the end of the input
+    is looked for.
+    """
+    own = checkpoint is None
     with state_settings(spark):
-        checkpoint = shared_dir(spark, "checkpoint")
+        checkpoint = shared_dir(spark, "checkpoint") if own else checkpoint
         query = writer.option("checkpointLocation", checkpoint).start()
         try:
             deadline = time.monotonic() + patience_s
@@ -64,7 +71,8 @@ def drain(
                 time.sleep(0.2)
         finally:
             query.stop()
-            delete(spark, checkpoint)
+            if own:
+                delete(spark, checkpoint)
 
 
 def to_table(
