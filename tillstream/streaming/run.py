@@ -33,15 +33,17 @@ def state_settings(spark: SparkSession):
 
 
 def _idle(query: StreamingQuery) -> bool:
-    """All input seen: the query waits for data, or ran a batch that found none.
+    """All input seen: the query waits for data, or ran two batches that found none.
 
     Queries with processing-time state run empty batches forever, so
-    ``processAllAvailable`` would not return.
+    ``processAllAvailable`` would not return.  One empty batch is not enough: after a
+    restart the first one repeats what was planned before the stop and looks for nothing.
     """
-    status, last = query.status, query.lastProgress
+    status, last = query.status, query.recentProgress[-2:]
     if status["message"].startswith("Waiting for data"):
         return True
-    return last is not None and last["numInputRows"] == 0 and not status["isDataAvailable"]
+    empty = [p["numInputRows"] == 0 for p in last]
+    return empty == [True, True] and not status["isDataAvailable"]
 
 
 def drain(
