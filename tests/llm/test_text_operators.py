@@ -351,8 +351,8 @@ def brute_cut(rows):
     ]
 
 
-def cut_rows(docs, group=suffixes.GROUP):
-    rows = suffixes.cut(docs, group).collect()
+def cut_rows(docs, group=suffixes.GROUP, hot=suffixes.HOT):
+    rows = suffixes.cut(docs, group, hot).collect()
     return Counter(
         (r["doc_id"], sum(s["stop"] - s["start"] for s in r["removed"]), len(r["removed"]), bytes(r["kept"]))
         for r in rows
@@ -383,6 +383,21 @@ def test_frequent_strings_are_compared_exactly(passages):
     assert cut_rows(passages, group=3) == Counter(brute_cut(texts_of(passages)))
 
 
+@pytest.mark.parametrize("which", ["awkward", "passages"])
+@pytest.mark.parametrize("group, hot", [(suffixes.GROUP, 0), (3, 0), (suffixes.GROUP, 4), (3, 4)])
+def test_frequent_strings_are_dealt_by_context(request, which, group, hot):
+    """Rows of frequent strings are spread; all, some or none of the strings are frequent."""
+    docs = request.getfixturevalue(which).repartition(7)
+    assert cut_rows(docs, group, hot) == Counter(brute_cut(texts_of(docs)))
+
+
+def test_frequent_strings_are_few(spark):
+    keys = spark.range(40_000).selectExpr("case when id % 3 = 0 then 7 else id end as key")
+    assert [r["key"] for r in suffixes.frequent_strings(keys, 1000).collect()] == [7]
+    assert suffixes.frequent_strings(keys, 20_000).isEmpty()
+    assert suffixes.frequent_strings(keys.limit(0), 0).isEmpty()
+
+
 def test_cut_keeps_other_columns(awkward):
     out = suffixes.cut(awkward)
     assert out.columns == [*awkward.columns, "removed", "kept"]

@@ -10,6 +10,7 @@ smallest among those of some ``LENGTH``-byte string.  Equal strings have equal a
    before, ``LENGTH`` after).  A task reports a context it sees twice once.  Rows sorted by
    (string hash, context hash) show by their neighbours which contexts occur again, and
    those are repeats to their full extent, and which strings occur in different contexts.
+   Rows of a frequent string are dealt by string and context, so they meet in no one task.
 2. For the latter the contexts' bytes are fetched.  Sampled splitters range-partition the
    suffixes by their leading bytes (``repartitionByRange``); within a partition suffixes
    are put in order by multikey quicksort, neighbours are compared, and the texts before
@@ -18,6 +19,7 @@ smallest among those of some ``LENGTH``-byte string.  Equal strings have equal a
 3. Splitters lie between leading strings, so strings that must be compared share a
    partition; a string in more than ``GROUP`` contexts is taken out of its partition and
    compared across partitions by counting its ``LENGTH``-byte strings (:func:`counted`).
+   Frequent strings known to have as many contexts are counted at once.
 
 Null texts are empty and lose nothing, as do texts shorter than ``LENGTH``.  Rows that
 repeat an id or a whole row are documents of their own and so repeat each other.  Null ids
@@ -32,13 +34,16 @@ from functools import cache
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tillstream.llm.common import packed, quoted, stored, texts_as_bytes, unpacked, without
+from tillstream.llm.common import packed, quoted, small, stored, texts_as_bytes, unpacked, without
 
 LENGTH = 400
 GRAM = 200
 REACH = LENGTH - GRAM
 #: Contexts of one string that are compared in one task.
 GROUP = 65_536
+#: A string is frequent if its rows are more than this and than ``HOT_SHARE`` of the mean of
+#: ``BUCKETS`` buckets of strings; so there are at most ``BUCKETS / HOT_SHARE`` such strings.
+HOT, HOT_SHARE, BUCKETS = 1 << 13, 4, 1 << 16
 #: Bytes of a text whose hashes are taken together.
 STRETCH = 1 << 20
 #: Contexts sent on at a time.
@@ -304,22 +309,55 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", "hash").mapInArrow(run, MARK.format(id=id_type))
 
 
-def repeated_contexts(rows: DataFrame) -> DataFrame:
-    """Spans that repeat in full (null key), and contexts of strings with several.
+def frequent_strings(rows: DataFrame, hot: int = HOT) -> DataFrame:
+    """Keys with very many rows; few enough to be sent to every task, whatever the table."""
+    rows = rows.select("key").where("key is not null")
+    bucket = F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).alias("bucket")
+    counts = stored(rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")), "string-buckets")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    many = F.col("n") > max(hot, HOT_SHARE * total / BUCKETS)
+    buckets = small(counts.where(many).select("bucket"), "full-buckets")
+    if buckets.isEmpty():
+        return rows.limit(0)
+    keys = rows.join(buckets, bucket == buckets["bucket"], "left_semi").groupBy("key")
+    return small(keys.agg(F.count(F.lit(1)).alias("n")).where(many).select("key"), "frequent-strings")
 
-    Rows come sorted by key and context, so a row's neighbours tell all there is to know
-    and only one row is carried from batch to batch, however often a string occurs.
+
+def repeated_contexts(rows: DataFrame, group: int = GROUP, hot: int = HOT) -> tuple[DataFrame, DataFrame | None]:
+    """Spans that repeat in full (null key) and contexts of strings with several.
+
+    Also gives the frequent strings with more than ``group`` contexts, if any.
+    """
+    spans, rows = rows.where("key is null"), rows.where("key is not null")
+    often = frequent_strings(rows, hot)
+    if often.isEmpty():
+        return spans.unionAll(_judged(rows, ["key"])), None
+    dealt = stored(_judged(rows.join(often, "key", "left_semi"), ["key", "ctx"]), "frequent-contexts")
+    # One row for each context of a frequent string: pre-aggregated, a row a task and string.
+    known = dealt.where("key is not null")
+    contexts_of = small(known.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "contexts-of-strings")
+    several = known.join(contexts_of.where("n > 1").select("key"), "key", "left_semi").select(*rows.columns)
+    rare = _judged(rows.join(often, "key", "left_anti"), ["key"])
+    marks = spans.unionAll(rare).unionAll(dealt.where("key is null")).unionAll(several)
+    return marks, contexts_of.where(F.col("n") > group).select("key")
+
+
+def _judged(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Spans of contexts that occur again (null key), and contexts.
+
+    Rows dealt by key give the contexts of strings with several; dealt by key and context
+    they give each context once.  They come sorted by key and context, so a row's neighbours
+    tell all there is to know and only one row is carried from batch to batch, however often
+    a string occurs.
     """
     import pyarrow as pa
 
+    apart = len(by) > 1
+
     def run(batches):
         held = None
         for batch in batches:
             batch = pa.Table.from_batches([batch]).combine_chunks()
-            spans = batch.filter(batch["key"].is_null())
-            if spans.num_rows:
-                yield _table(*spans.columns)
-            batch = batch.filter(batch["key"].is_valid())
             if not batch.num_rows:
                 continue
             window = batch if held is None else pa.concat_tables([held[0], batch])
@@ -345,7 +383,10 @@ def repeated_contexts(rows: DataFrame) -> DataFrame:
         key_after, ctx_after = np.r_[same_key, False], np.r_[same_ctx, False]
         keep = slice(None) if last else slice(0, window.num_rows - 1)
         again = (ctx_before | ctx_after)[keep]
-        several = ((~ctx_before & key_before) | (~ctx_after & key_after))[keep]
+        if apart:
+            several = ~ctx_before[keep]
+        else:
+            several = ((~ctx_before & key_before) | (~ctx_after & key_after))[keep]
         window = window.slice(0, len(again))
         for mask, spans in ((again, True), (several, False)):
             part = window.filter(pa.array(mask))
@@ -361,10 +402,7 @@ def repeated_contexts(rows: DataFrame) -> DataFrame:
             else:
                 yield _table(*part.columns)
 
-    # Spans have no key to meet under; their place keeps them from meeting in one task.
-    home = F.coalesce("key", F.xxhash64("doc_id", "hash", "start"))
-    sorted_rows = rows.withColumn("home", home).repartition("home").sortWithinPartitions("home", "key", "ctx")
-    return sorted_rows.drop("home").mapInArrow(run, rows.schema)
+    return rows.repartition(*by).sortWithinPartitions("key", "ctx").mapInArrow(run, rows.schema)
 
 
 def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -506,19 +544,24 @@ def counted(large: DataFrame) -> DataFrame:
     )
 
 
-def repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
+def repeats(docs: DataFrame, group: int = GROUP, hot: int = HOT) -> DataFrame:
     """(doc_id, hash, start, stop): byte spans that repeat; they may overlap.
 
     ``docs`` has doc_id, text and hash, the XXH64 of the text.
     """
-    marks = stored(repeated_contexts(anchor_rows(docs)), "repeat-marks")
+    marks, often = repeated_contexts(stored(anchor_rows(docs), "anchors"), group, hot)
+    marks = stored(marks, "repeat-marks")
     found = stored(contexts(docs, marks.where("key is not null")), "repeat-contexts")
-    solved = stored(compared(found, group), "repeat-spans")
+    rare = found if often is None else found.join(often, "key", "left_anti").select(*found.columns)
+    solved = stored(compared(rare, group), "repeat-spans")
     spans = [
         marks.where("key is null").select("doc_id", "hash", "start", "stop"),
         solved.where("stop is not null").select("doc_id", "hash", "start", "stop"),
     ]
-    large = solved.where("stop is null")
+    large = solved.where("stop is null").drop("stop")
+    if often is not None:
+        many = found.join(often, "key", "left_semi").withColumnRenamed("at", "start")
+        large = large.unionByName(many.select(*large.columns))
     if not large.isEmpty():
         spans.append(counted(large))
     out = spans[0]
@@ -527,7 +570,7 @@ def repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     return out
 
 
-def cut(docs: DataFrame, group: int = GROUP) -> DataFrame:
+def cut(docs: DataFrame, group: int = GROUP, hot: int = HOT) -> DataFrame:
     """Every document with its removed spans and what is left of its text.
 
     Adds ``removed`` (sorted byte spans) and ``kept`` (the remaining bytes).
@@ -535,7 +578,7 @@ def cut(docs: DataFrame, group: int = GROUP) -> DataFrame:
     docs = docs.select(*quoted(without(docs, "removed", "kept")))
     marked = docs.select(packed(docs), "doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
     spans = (
-        repeats(marked.select("doc_id", "text", "hash"), group)
+        repeats(marked.select("doc_id", "text", "hash"), group, hot)
         .groupBy(F.col("doc_id").alias("id"), F.col("hash").alias("of"))
         .agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     )
