@@ -446,23 +446,22 @@ def test_extents_pairwise_and_by_classes_agree(data):
 # --- language model
 
 
-def brute_scores(rows):
+def brute_scores(rows, order):
     """Modified Kneser-Ney with dictionaries."""
     def words(text):
         low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
         return [*WORDS.findall(low), None]
 
+    def grams(ws, k):
+        padded = ["<s>"] * (order - 1) + ws
+        return [tuple(padded[i - k + 1 : i + 1]) for i in range(order - 1, len(padded))]
+
     train = [words(t) for i, t in rows if crc32(("" if i is None else str(i)).encode()) % 10]
-    uni, bi = Counter(), Counter()
-    for ws in train:
-        uni.update(ws)
-        bi.update(zip(["<s>", *ws], ws))
+    uni = Counter(w for ws in train for w in ws)
     n, v = sum(uni.values()), len(uni)
-    cont, total, kinds = Counter(), Counter(), defaultdict(Counter)
-    for (a, b), c in bi.items():
-        cont[b] += 1
-        total[a] += c
-        kinds[a][min(c, 3)] += 1
+    counts = {order: Counter(g for ws in train for g in grams(ws, order))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
 
     def ds(counts):
         k = Counter(counts)
@@ -475,38 +474,43 @@ def brute_scores(rows):
         d3 = 3 - 4 * y * n4 / n3 if n3 else d2
         return [0, *[min(max(d, 0), k) for k, d in ((1, d1), (2, d2), (3, d3))]]
 
-    d_bi, d_uni, pairs = ds(bi.values()), ds(cont.values()), len(bi)
-    floor = sum(d_uni[min(c, 3)] for c in cont.values()) / pairs if pairs else 1
-
-    def p(a, b):
-        low = 1 / (v + 1)
-        if pairs:
-            low = max(cont[b] - d_uni[min(cont[b], 3)], 0) / pairs + floor / (v + 1)
-        if not total[a]:
+    d = {k: ds(c.values()) for k, c in counts.items()}
+    total, kinds = defaultdict(Counter), defaultdict(lambda: defaultdict(Counter))
+    for k, grams_of_k in counts.items():
+        for g, c in grams_of_k.items():
+            total[k][g[:-1]] += c
+            kinds[k][g[:-1]][min(c, 3)] += 1
+
+    def p(gram):
+        if not gram:
+            return 1 / (v + 1)
+        k, context = len(gram), gram[:-1]
+        low = p(gram[1:])
+        if not total[k][context]:
             return low
-        c = bi[a, b]
-        spare = sum(d_bi[k] * x for k, x in kinds[a].items())
-        return (max(c - d_bi[min(c, 3)], 0) + spare * low) / total[a]
+        c = counts[k][gram]
+        spare = sum(d[k][j] * x for j, x in kinds[k][context].items())
+        return (max(c - d[k][min(c, 3)], 0) + spare * low) / total[k][context]
 
-    vocabulary = [*uni, "\n"]
-    for a in list(total)[:20]:
-        assert sum(p(a, b) for b in vocabulary) == pytest.approx(1)
+    for context in list(total[order])[:20]:
+        assert sum(p((*context, b)) for b in [*uni, "\n"]) == pytest.approx(1)
     out = []
     for i, text in rows:
         ws = words(text)
         base = sum(math.log10((uni[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws)
-        score = sum(math.log10(p(a, b)) for a, b in zip(["<s>", *ws], ws))
+        score = sum(math.log10(p(g)) for g in grams(ws, order))
         held = crc32(("" if i is None else str(i)).encode()) % 10 == 0
         out.append((i, held, len(ws), sum(uni[w] > 0 for w in ws), n, base, score))
     return out
 
 
+@pytest.mark.parametrize("order", [2, 3, 4])
 @pytest.mark.parametrize("which", ["documents", "awkward"])
-def test_scores_match_brute_force(request, which):
+def test_scores_match_brute_force(request, which, order):
     docs = request.getfixturevalue(which)
     key = lambda r: (str(r[0]), r[2], r[5])
-    got = sorted((tuple(r) for r in lm.held_out_scores(docs).collect()), key=key)
-    want = sorted(brute_scores(texts_of(docs)), key=key)
+    got = sorted((tuple(r) for r in lm.held_out_scores(docs, order).collect()), key=key)
+    want = sorted(brute_scores(texts_of(docs), order), key=key)
     assert [g[:5] for g in got] == [w[:5] for w in want]
     for g, w in zip(got, want):
         assert g[5:] == pytest.approx(w[5:], rel=1e-6)
@@ -520,9 +524,10 @@ def test_scores_without_training_or_documents(spark, empty):
     assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["score"]) == (3, 0, 0, 0.0)
 
 
-def test_held_out_text_is_better_predicted_than_by_word_counts(spark):
+@pytest.mark.parametrize("order", [2, 3])
+def test_held_out_text_is_better_predicted_than_by_word_counts(spark, order):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    t = lm.held_out_scores(docs).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
+    t = lm.held_out_scores(docs, order).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
     assert t["sum(score)"] > t["sum(base_score)"]
 
 
