@@ -840,7 +840,74 @@ def a14(t):
     )
 
 
-@register("a14_outbound_xml")
+def _tag(depth: int, name: str, value: str) -> str:
+    """SQL for a line of XML; none for null."""
+    safe = f"replace(replace(replace({value}::varchar, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+    return f"coalesce('{'    ' * depth}<{name}>' || {safe} || '</{name}>' || chr(10), '')"
+
+
+def _block(depth: int, name: str, inner: list[str], attributes: str = "") -> str:
+    """SQL for lines of XML in a tag of their own."""
+    indent = "    " * depth
+    return " || ".join([f"'{indent}<{name}{attributes}>' || chr(10)", *inner, f"'{indent}</{name}>' || chr(10)"])
+
+
+_XML_ITEM = _block(
+    3,
+    "E1WPF02",
+    [
+        _tag(4, "SEQNUM", "financialsequencenumber"),
+        _tag(4, "REFID", "refererenceid"),
+        _tag(4, "AMOUNT", "amount"),
+        _tag(4, "CURRENCY", "financialcurrency"),
+        "extensions",
+    ],
+)
+_XML = _block(
+    0,
+    "WPUFIB01",
+    [
+        _block(
+            1,
+            "IDOC",
+            [
+                _block(
+                    2,
+                    "EDI_DC40",
+                    [_tag(3, k, f"'{v}'") for k, v in outbound.CONTROL.items()]
+                    + [_tag(3, "SNDPRN", f"coalesce(retailstoreid, '{outbound.UNKNOWN_STORE}')")],
+                ),
+                _block(
+                    2,
+                    "E1WPF01",
+                    [
+                        _tag(3, "VORGDATUM", "businessdaydate"),
+                        _tag(3, "BONNUMMER", "transactionsequencenumber"),
+                        _tag(3, "VORGANGART", "financialtypecode"),
+                        f"case when financialsequencenumber is not null then {_XML_ITEM} else '' end",
+                    ],
+                ),
+            ],
+            ' BEGIN="1"',
+        )
+    ],
+)
+_XML_EXTENSION = _block(
+    4,
+    "E1WXX01",
+    [_tag(5, "FLDGRP", "fieldgroup"), _tag(5, "FLDNAME", "fieldname"), _tag(5, "FLDVAL", "fieldvalue")],
+)
+
+
+@register(
+    "a14_outbound_xml",
+    f"""{ctes('movements', 'movement_ext', 'txn_ext')}, {_OUT},
+d as (select rtl_txn_fin_rk, {', '.join(f'any_value({c}) as {c}' for c in outbound.HEADER + outbound.ITEM)},
+  coalesce(string_agg({_XML_EXTENSION}, '' order by pos, fieldgroup, fieldname, fieldvalue)
+    filter (fieldname is not null and fieldvalue is not null), '') as extensions
+from o group by rtl_txn_fin_rk)
+select rtl_txn_fin_rk, rtrim({_XML}, chr(10)) as xml from d""",
+)
 def a14_xml(t):
     """The same documents as XML text."""
     docs = outbound.document_xml(outbound.build_documents(outbound_rows(t)))
