@@ -5,6 +5,7 @@ from zlib import crc32
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
 
 import check
@@ -13,7 +14,7 @@ from helpers import prose, texts_of
 from tillstream.llm import chat, common, decontaminate, idfiles, mixing, quality, queries, rangecoder, sharding, simhash
 
 SF = "/root/testdata/sf0.001"
-WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 @pytest.fixture(scope="module")

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from zlib import crc32
 
 import numpy as np
+import public_tokenizers
 import pytest
 import xxhash
 from hypothesis import given, settings, strategies as st
@@ -14,7 +15,6 @@ from helpers import prose, texts_of
 from tillstream.llm import decontaminate, hashed, lm, quality, simhash, suffixes, tokens
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-TOKENIZERS = "/opt/tokenizers"
 
 
 # --- token counts
@@ -22,7 +22,7 @@ TOKENIZERS = "/opt/tokenizers"
 
 @pytest.fixture(scope="module")
 def vocabulary():
-    return tokens.Vocabulary.from_sentencepiece(f"{TOKENIZERS}/piece_bpe_32k.model")
+    return tokens.Vocabulary.from_sentencepiece(public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def unigram(vocabulary):

@@ -28,7 +28,7 @@ REMEMBERED = 1 << 20
 #: Bytes of text encoded together.
 PORTION = 2 << 20
 
-_ENCODERS: dict[str, "Encoder"] = {}
+_ENCODERS: dict[int, "Encoder"] = {}
 
 
 class Encoder:
@@ -38,10 +38,10 @@ class Encoder:
     white space do: then the ids of a text are the ids of its words.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, file: bytes):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_buffer(file)
         self.tokenizer.no_padding()
         self.clear()
 
@@ -97,15 +97,21 @@ def portions(batch):
             yield batch.slice(a, b - a)
 
 
-def encoder(path: str) -> Encoder:
+def encoder(file: bytes) -> Encoder:
     """The worker's encoder; it outlives a task so that words are learned once."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    key = crc32(file)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(file)
+    return _ENCODERS[key]
 
 
 def frames(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
-    """The corpus as rows of encoded frames, in ascending order of id."""
+    """The corpus as rows of encoded frames, in ascending order of id.
+
+    The tokenizer's file is read here and sent to the tasks, a few megabytes of any corpus.
+    """
+    with open(tokenizer, "rb") as file:
+        sent = docs.sparkSession.sparkContext.broadcast(file.read())
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -113,7 +119,7 @@ def frames(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encode = encoder(tokenizer).encode
+        encode = encoder(sent.value).encode
         done = 0
         held: list[tuple[list, list[int], np.ndarray]] = []
         blocks_held = 0

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 import public_tokenizers
@@ -43,13 +42,13 @@ def unsigned_crc32(data):
     return F.crc32(data).cast("long")
 
 
-#: Where the public tokenizers' vocabulary files are.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+#: The tokenizer of pieces.
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 
 @register("op1_token_counts")
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = tokens.Vocabulary.from_sentencepiece(f"{TOKENIZERS}/piece_bpe_32k.model")
+    vocabulary = tokens.Vocabulary.from_sentencepiece(public_tokenizers.path(PIECE_TOKENIZER))
     return tokens.token_counts(common.documents(spark, sf_dir).select("doc_id", "text"), vocabulary, ("text",))
 
 
@@ -215,7 +214,7 @@ END_ID, WORD_TOKENIZER = 2, "word_bpe_49k.json"
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids are written to coded files; everything returned is decoded from those."""
     path = common.scratch(spark, "token-ids")
-    idfiles.write_ids(common.documents(spark, sf_dir), f"{TOKENIZERS}/{WORD_TOKENIZER}", END_ID, path)
+    idfiles.write_ids(common.documents(spark, sf_dir), public_tokenizers.path(WORD_TOKENIZER), END_ID, path)
     return idfiles.read_checksums(spark.read.parquet(path))
 
 
@@ -248,8 +247,8 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: The byte-level tokenizer and the one of pieces.
-BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
+#: The byte-level tokenizer.
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 @register("op13_alignment")
