@@ -7,7 +7,7 @@ A block starts from nothing and can be decoded alone.  Each id is coded as
   three adaptive estimates (order-2 confidence, order-1 confidence, recent hits as order
   0) mixed in the logistic domain with weights that learn;
 * after a miss, the id itself in four-bit digits, each under an adaptive order-0
-  distribution that depends on the digits before it.
+  distribution that depends on the digits before it and learns fast at first.
 
 Decisions go into a carry-less range coder with 64-bit state and 32-bit words.
 
@@ -26,7 +26,7 @@ from zlib import crc32
 
 import numpy as np
 
-BLOCK = 4096
+BLOCK = 8192
 #: Blocks that run side by side.
 LANES = 1024
 
@@ -39,11 +39,14 @@ MOST = 131_071
 MASK32 = np.uint64(0xFFFFFFFF)
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
-# Fixed values of the model: precision, adaptation rates, floor of a digit's share.
+# Fixed values of the model: precision, floor of a digit's share, and shifts of a
+# distribution after 0, 1, ... sightings, the last one for all that follow.
 BITS = 15
 WHOLE = 1 << BITS
 FLOOR = 32
-RATES = (5, 5, 4, 4)
+SHIFTS = np.array([1, 2, 2, 3, 3, 3, 3, 4, 4, 4, 4, 4, 4, 4, 4, 5], np.int16)
+#: Most distributions of a digit.
+NODES = 1024
 
 
 def _squash_table() -> np.ndarray:
@@ -72,10 +75,12 @@ class Model:
 
     def __init__(self, lanes: int, digits: int):
         self.lanes, self.digits = lanes, digits
-        #: Nodes of each digit: by no, one, or the last two digits before.
-        sizes = [16 ** min(d, 2) for d in range(digits)]
+        #: Nodes of each digit: by all digits before it, from the fourth on by their hash.
+        sizes = [min(16**d, NODES) for d in range(digits)]
         self.bases = np.cumsum([0, *sizes[:-1]])
         self.nodes = sum(sizes)
+        #: How far a distribution has come: it learns fast at first.
+        self.seen = np.zeros(lanes * self.nodes, np.int8)
         self.cdf = np.tile((np.arange(16) * (WHOLE // 16)).astype(np.int16), (lanes * self.nodes, 1))
         #: Last id after each order-2 and each order-1 context, above three bits of how
         #: often in a row.
@@ -126,29 +131,33 @@ class Model:
 
     def node(self, d: int, lanes: np.ndarray, before: np.ndarray) -> np.ndarray:
         """Rows of the distributions for digit ``d``; ``before`` holds the digits so far."""
-        return lanes * self.nodes + self.bases[d] + (before & (255 if d > 1 else 15 if d else 0))
+        if d > 2:
+            before = (before * 0x9E5) & (NODES - 1)
+        return lanes * self.nodes + self.bases[d] + before
 
     def see(self, d, lanes, before, digit) -> tuple[np.ndarray, np.ndarray]:
         """A digit's interval, start and width; its distribution learns it."""
         at = self.node(d, lanes, before)
         rows = self.cdf.take(at, axis=0)
-        return self._learn(d, at, rows, digit)
+        return self._learn(at, rows, digit)
 
     def find(self, d, lanes, before, asked) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The digit whose interval holds a value, and that interval."""
         at = self.node(d, lanes, before)
         rows = self.cdf.take(at, axis=0)
         digit = np.count_nonzero(rows <= asked.astype(np.int16)[:, None], axis=1) - 1
-        return digit, *self._learn(d, at, rows, digit)
+        return digit, *self._learn(at, rows, digit)
 
-    def _learn(self, d, at, rows, digit):
+    def _learn(self, at, rows, digit):
         flat = rows.reshape(-1)
         pick = PICK[: len(at)] + digit
         cum = flat.take(pick).astype(np.int64)
         # A row's end is the next row's start, which is not its bound.
         top = np.where(digit == 15, np.int64(WHOLE), flat.take(pick + 1, mode="clip"))
-        rows += (TARGET.take(digit, axis=0) - rows) >> RATES[min(d, 3)]
+        seen = self.seen.take(at)
+        rows += (TARGET.take(digit, axis=0) - rows) >> SHIFTS.take(seen)[:, None]
         self.cdf[at] = rows
+        self.seen[at] = np.minimum(seen + 1, len(SHIFTS) - 1)
         return cum, top - cum
 
 
