@@ -53,6 +53,30 @@ def test_unreadable_documents_are_quarantined_alone(spark, segment):
     assert [r.doc_id for r in good.collect()] == [1] and [r.doc_id for r in bad.collect()] == [2]
 
 
+def test_both_halves_of_a_parse_read_the_settled_messages(spark, segment):
+    xml = documents.build_xml({"E1BPTRANSACTION": segment([{}, {"doc_id": 2}])})
+    cut = xml.withColumn("value", F.when(F.col("doc_id") == 2, "<broken").otherwise(F.col("value")))
+    seen = []
+
+    def settle(df):
+        seen.append(df)
+        return spark.createDataFrame(df.collect(), df.schema)
+
+    good, bad = documents.parse_documents(cut, settle=settle)
+    assert len(seen) == 1
+    for half in (good, bad):
+        assert "from_xml" not in half._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert [r.doc_id for r in good.collect()] == [1]
+    assert [(r.doc_id, r.value, r.error) for r in bad.collect()] == [(2, "<broken", "unreadable document")]
+
+
+def test_documents_hold_no_blanks_between_tags_and_keep_the_order(segment):
+    rows = [{"pos": p, "operatorid": f" {p} "} for p in (3, 1, 2)]
+    text = documents.build_xml({"E1BPTRANSACTION": segment(rows)}).first().value
+    assert "> " not in text.replace("<OPERATORID> ", "") and "\n" not in text.strip()
+    assert [text.index(f"<OPERATORID> {p} <") for p in (1, 2, 3)] == sorted(text.index(f"<OPERATORID> {p} <") for p in (1, 2, 3))
+
+
 def test_bundles_unpack_to_the_flattened_rows(spark, segment):
     ext = segment([{"fieldname": "SOURCE", "fieldvalue": SHOP}, {"fieldname": "X", "fieldvalue": "y"}])
     txns = segment([{}, {"transactionsequencenumber": "8"}])
