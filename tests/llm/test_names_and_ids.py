@@ -5,6 +5,7 @@ import time
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from helpers import prose
@@ -109,3 +110,28 @@ def test_running_sums(spark):
 
         got = row.select(chat.running(F.col("sizes"), F.lit(5))).collect()[0][0]
         assert got == [5 + sum(sizes[:i]) for i in range(n)]
+
+
+def test_all_labelled_documents_fit_the_threshold(spark, monkeypatch):
+    n, seen = 12_000, []
+    real = quality.threshold
+    monkeypatch.setattr(quality, "threshold", lambda scores: seen.append(len(scores)) or real(scores))
+    ids = spark.range(2 * n)
+    text = "array_join(transform(sequence(1, 60), i -> concat('w', (id * 7 + i * i) % 1000)), ' ') as text"
+    docs = ids.selectExpr("id as doc_id", text)
+    labels = ids.selectExpr("id as doc_id", "cast(id % 2 as int) as quality", "0 as toxic")
+    out = quality.judge(docs, labels).select("doc_id", "score", "kept", "base_failed").collect()
+    assert seen == [2 * n]
+    good = [r["score"] for r in out if r["doc_id"] % 2]
+    low, typical = np.quantile(good, 0.001), np.median([r["score"] for r in out if r["doc_id"] % 2 == 0])
+    cut = low - max(0.0, low - typical) / 2
+    assert all(r["kept"] == (not r["base_failed"] and r["score"] >= cut) for r in out if abs(r["score"] - cut) > 1e-12)
+
+
+def test_quantiles_by_rank_equal_numpys(spark):
+    values = [(True, float(x * x % 101)) for x in range(57)] + [(False, 3.5)]
+    scores = quality.Scores(spark.createDataFrame(values, "_good boolean, score double"))
+    for q in (0.0, 0.001, 0.3, 0.5, 1.0):
+        assert scores.quantile(True, q) == pytest.approx(np.quantile([v for g, v in values if g], q), abs=1e-12)
+    assert scores.quantile(False, 0.5) == 3.5
+    assert quality.Scores(scores.rows.where("false")).quantile(True, 0.5) is None
