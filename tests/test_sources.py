@@ -30,6 +30,22 @@ def test_codec_round_trip_and_damage(spark):
     assert [r[0] for r in bad.select(messages.decode_payload(F.col("t"))).collect()] == [None] * 3
 
 
+def test_loads_hand_few_documents_at_a_time_to_python(spark, tmp_path, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, real = spark.conf.get(name), [], ingest.read_documents
+    assert int(before) > messages.MESSAGES
+
+    def read(*args):
+        seen.append(spark.conf.get(name))
+        return real(*args)
+
+    monkeypatch.setattr(ingest, "read_documents", read)
+    with pytest.raises(Exception, match="marm"):
+        raw = spark.createDataFrame([("x",)], "value string")
+        ingest.ingest_batch(raw, {}, ingest.Settings(SHOP), str(tmp_path), LOAD, "one")
+    assert seen == [str(messages.MESSAGES)] and spark.conf.get(name) == before
+
+
 def test_start_options():
     assert messages.start_options(None) == {"startingOffsets": "earliest"}
     assert messages.start_options(5)["startingTimestamp"] == "5"
