@@ -135,3 +135,22 @@ def test_quantiles_by_rank_equal_numpys(spark):
         assert scores.quantile(True, q) == pytest.approx(np.quantile([v for g, v in values if g], q), abs=1e-12)
     assert scores.quantile(False, 0.5) == 3.5
     assert quality.Scores(scores.rows.where("false")).quantile(True, 0.5) is None
+
+
+def test_texts_are_shuffled_once_and_scored_once(spark, monkeypatch):
+    plans, calls = [], []
+    counts, score = quality.ngram_counts, quality.scored
+
+    def counted(docs):
+        plans.append(docs._jdf.queryExecution().executedPlan().toString())
+        return counts(docs)
+
+    monkeypatch.setattr(quality, "ngram_counts", counted)
+    monkeypatch.setattr(quality, "scored", lambda *args: calls.append(1) or score(*args))
+    rows = [(i, prose(i, 70)) for i in range(40)] + [(None, prose(90, 70))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    out = quality.judge(docs, labels).collect()
+    assert len(out) == len(rows) and len(calls) == 1
+    # The same join whether labels are few or many, so disk grows with the texts.
+    assert "ShuffledHashJoin" in plans[0]

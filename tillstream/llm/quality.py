@@ -232,15 +232,18 @@ def threshold(scores: Scores) -> float:
 
 def judge(docs: DataFrame, labels: DataFrame, drop: tuple[str, ...] = ()) -> DataFrame:
     """Every document with its counts, score, ``base_failed`` and ``kept``."""
-    marked = docs.select("doc_id", "text").join(known_labels(labels), "doc_id", "left")
+    # One plan at every size: texts are shuffled once, for the counts, and scored once.
+    known = known_labels(labels).hint("shuffle_hash")
+    marked = docs.select("doc_id", "text").join(known, "doc_id", "left")
     ratio = ratios(ngram_counts(marked.withColumn("trusted", F.coalesce("_good", F.lit(False)))))
     cut = float("-inf")
+    out = scored(docs.select(*quoted(without(docs, "base_failed", "kept"))), ratio, drop)
     if ratio is not None:
-        known = scored(marked.where("_good is not null"), ratio, ("text",)).where(f"n_words >= {MIN_WORDS}")
+        out = stored(out, "scored")
         # One row for each labelled id, however many documents bear it.
-        lowest = known.groupBy("doc_id", "_good").agg(F.min("score").alias("score"))
+        rows = out.where(f"n_words >= {MIN_WORDS}").select("doc_id", "score").join(known, "doc_id")
+        lowest = rows.groupBy("doc_id", "_good").agg(F.min("score").alias("score"))
         cut = threshold(Scores(stored(lowest.select("_good", "score"), "scores")))
-    out = scored(docs.select(*quoted(without(docs, "base_failed", "kept"))), ratio, drop)
     failed = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * REPEAT_PERCENT
     )
