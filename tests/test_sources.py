@@ -157,6 +157,18 @@ def test_target_files_are_sized(spark, tmp_path, monkeypatch):
     assert spark.conf.get(name, None) == before
 
 
+def test_rows_of_a_transaction_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "TARGET_BYTES", 2_000_000)
+    text = F.sha2(F.col("id").cast("string"), 256).alias("x")
+    key = F.when(F.col("id") % 400 != 0, (F.col("id") % 400).cast("string")).alias("txn_key")
+    df = spark.range(90_000).repartition(3).select(text, key)
+    tables.write_targets({"a": df}, "one", str(tmp_path))
+    assert tables.read_target(spark, str(tmp_path), "a").drop("load_id").exceptAll(df).isEmpty()
+    stored = spark.read.parquet(f"{tmp_path}/a").withColumn("file", F.input_file_name())
+    assert stored.select("file").distinct().count() > 1 and stored.count() == 90_000
+    assert stored.groupBy("txn_key").agg(F.countDistinct("file").alias("n")).where("n > 1").isEmpty()
+
+
 def test_seen_keys_do_not_grow_with_loads(spark, tmp_path):
     path, day = str(tmp_path / "seen"), datetime(2024, 3, 1)
     ttl = int(timedelta(hours=72).total_seconds() * 1000)
