@@ -106,6 +106,25 @@ def test_bundles_unpack_to_the_flattened_rows(spark, segment):
     assert "0001|20240102|0000001001|8" in moved
 
 
+def test_listed_segments_hold_their_own_values_only_and_widen_to_the_flattened_rows(spark, segment):
+    ext = segment([{"fieldname": "SOURCE", "fieldvalue": SHOP}, {"fieldname": "X", "fieldvalue": None}])
+    txns = segment([{"operatorid": "01"}, {"transactionsequencenumber": "8"}])
+    totals = segment([{}])
+    xml = documents.build_xml({"E1BPTRANSACTEXTENSIO": ext, "E1BPTRANSACTION": txns, "E1BPRETAILTOTALS": totals})
+    docs, _ = documents.parse_documents(xml)
+    flat = documents.flatten_segments(docs, online_source=SHOP)
+    listed = documents.segment_values(docs, online_source=SHOP)
+    sizes = {(r.segment_name, len(r.segment_values)) for r in listed.collect()}
+    assert sizes == {(s, len(schemas.SEGMENTS[s])) for s in ("E1BPTRANSACTEXTENSIO", "E1BPTRANSACTION", "E1BPRETAILTOTALS")}
+    wide = documents.widened(listed)
+    assert wide.columns == flat.columns
+    assert flat.exceptAll(wide).isEmpty() and wide.exceptAll(flat).isEmpty()
+    for name in ("E1BPTRANSACTEXTENSIO", "E1BPTRANSACTION", "E1BPRETAILTOTALS"):
+        one, other = documents.pick_segment(flat, name), documents.pick_segment(listed, name)
+        assert one.columns == other.columns
+        assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+
+
 def test_write_targets_is_idempotent_per_load(spark, tmp_path):
     df = spark.range(10)
     for _ in range(2):
