@@ -137,6 +137,17 @@ def test_cancel_equals_brute_force(lines, marks, seed, both):
     assert got == brute_force(rows, ext, both)
 
 
+def test_lines_and_marks_cross_the_network_once_for_all_groups(lines, marks):
+    items = lines(("2001", "A", 1, 5), ("2901", "A", -1, -5))
+    plan = cancel.claimed_items(items, marks((0, "TAX", "x")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_cancel_keeps_lines_without_document(lines, marks):
+    items = lines(("2001", "A", 1, 5), ("2901", "A", -1, -5)).withColumn("doc_id", F.lit(None).cast("long"))
+    assert codes(cancel.cancel_items(items, marks())) == ["2001", "2901"]
+
+
 def test_blocked_rank_and_running_min_equal_the_plain_window(spark):
     rng = random.Random(5)
     rows = [(g, p, rng.randrange(100)) for g in "ab" for p in rng.sample(range(1000), 200)]
