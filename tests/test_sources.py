@@ -1,5 +1,6 @@
 import glob
 import os
+import time
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -125,6 +126,116 @@ def test_listed_segments_hold_their_own_values_only_and_widen_to_the_flattened_r
         assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
 
 
+TENDER = documents.PREFIX + "E1BPTENDER"
+ONE = f"<{TENDER}><RETAILSTOREID>1</RETAILSTOREID><TENDERTYPECODE>1</TENDERTYPECODE></{TENDER}>"
+SHOP_NOTE = f"<{documents.PREFIX}E1BPTRANSACTEXTENSIO><RETAILSTOREID>1</RETAILSTOREID><FIELDNAME>SOURCE</FIELDNAME><FIELDVALUE>{SHOP}</FIELDVALUE></{documents.PREFIX}E1BPTRANSACTEXTENSIO>"
+RECORD = f"<{documents.SOURCE_TAG}><KEY>k</KEY><TYPE></TYPE></{documents.SOURCE_TAG}>"
+
+
+def _document(inner, head="<EDI_DC40><TABNAM>T</TABNAM></EDI_DC40>", root="r", idoc="IDOC"):
+    body = f"<{documents.BODY}>{inner}</{documents.BODY}>"
+    return f"<{root}><{idoc}>{head}{body}</{idoc}></{root}>"
+
+
+def _tender(fields):
+    return _document(f"<{TENDER}>{fields}</{TENDER}>")
+
+
+PLAIN = [
+    _document(ONE + ONE),
+    _document(ONE + SHOP_NOTE + ONE),
+    _document(ONE + RECORD),
+    _document(f"<{documents.SOURCE_TAG}/>"),
+    _document(""),
+    _document("\n  " + ONE + " ", head=""),
+    _document(f"<{TENDER}/>" + ONE),
+    "\n" + _document(ONE) + " ",
+    '<?xml version="1.0" encoding="utf-8"?>\n' + _document(ONE),
+    _tender("<RETAILSTOREID></RETAILSTOREID><TENDERTYPECODE/><TENDERID>  </TENDERID>"),
+    _tender("<TENDERID> a\n b\r\nc\td </TENDERID><TENDERTYPECODE>null</TENDERTYPECODE>"),
+    _tender("<TENDERID>a&amp;b &lt;c&gt; &#65;&#x20;&quot;</TENDERID><TENDERTYPECODE>&#32;</TENDERTYPECODE>"),
+    _tender("<TENDERID>é漢😀\u0085\u200b</TENDERID>"),
+    _tender("<TENDERID>1</TENDERID><TENDERID>2</TENDERID><XX>3</XX>"),
+    _tender('zz<TENDERID a="1">1</TENDERID>yy').replace(TENDER, TENDER + ' SEGMENT="1"', 1),
+]
+ODD = [
+    _tender("<tenderid>1</tenderid>"),
+    _tender("<TENDERID><X>1</X></TENDERID>"),
+    _tender("<TENDERID>a<!-- x -->b</TENDERID>"),
+    _tender("<TENDERID><![CDATA[a<b]]></TENDERID>"),
+    _tender("<TENDERID>a<?x y?>b</TENDERID>"),
+    _document("<X><A>1</A></X>" + ONE),
+    _document(RECORD + RECORD),
+    _document(ONE, head="<X/>"),
+    _document(ONE, idoc="idoc"),
+    _document(ONE) + "<x>",
+    _document(ONE) + "abc",
+    _document(ONE).replace("</r>", ""),
+    "<r xmlns='u'>" + _document(ONE)[3:],
+    "<r><IDOC/></r>",
+    "<r><X/></r>",
+    "plain text",
+    "",
+    None,
+]
+
+
+@pytest.mark.parametrize("online", [None, SHOP])
+def test_plain_documents_are_read_as_sparks_parser_reads_them(spark, online):
+    texts = spark.createDataFrame(list(enumerate(PLAIN + ODD)), "doc_id long, value string")
+    known = documents.segment_values(documents.parse(texts).where("error is null"), online_source=online)
+    read = documents.plain_segments(texts, F.col("value"), lambda text: text, ["doc_id"], online_source=online)
+    rows = lambda df: sorted(df.collect(), key=lambda r: (r.doc_id, r.pos))
+    plain = F.col("doc_id") < len(PLAIN)
+    assert rows(read.where(plain & ~F.col("segment_name").isin(*documents.NO_SEGMENTS))) == rows(known.where(plain))
+    records = documents.source_documents(documents.parse(texts).where("error is null"))
+    listed = documents.listed_rows(read, documents.SOURCE_ROW, schemas.SOURCE_DOCUMENT_COLUMNS)
+    assert rows_by_id(listed) == rows_by_id(records.where(plain))
+    # All others are left to the parser, with their text.
+    left = documents.listed_rows(read, documents.UNREAD_ROW, ["id", "value"])
+    assert rows_by_id(left) == [(i, str(i), x) for i, x in enumerate(PLAIN + ODD) if i >= len(PLAIN)]
+
+
+def rows_by_id(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_a_load_reads_plain_and_other_documents_alike(spark):
+    payload = messages.encode_payload(F.col("value"))
+    texts = spark.createDataFrame(list(enumerate(PLAIN + ODD)), "doc_id long, value string")
+    raw = texts.select("doc_id", messages.envelope(F.lit(messages.MESSAGE_TYPE), F.coalesce(payload, F.lit("@"))).alias("value"))
+    with tables.temporary(spark):
+        flat, sources, bad = ingest.read_documents(raw, ingest.Settings(online_source=SHOP), tables.cut_lineage)
+        good, broken = documents.parse_documents(texts)
+        known = documents.segment_values(good, online_source=SHOP)
+        order = lambda df: sorted(df.select(known.columns).collect(), key=lambda r: (r.doc_id, r.pos))
+        assert order(flat) == order(known)
+        assert rows_by_id(sources.na.fill("")) == rows_by_id(documents.source_documents(good).na.fill(""))
+        assert bad.count() == broken.count() > 0
+        assert {(r.error, r.message_type) for r in bad.collect()} == {("unreadable document", messages.MESSAGE_TYPE)}
+
+
+def test_shuffle_files_go_when_a_query_of_a_load_ends(spark):
+    store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager()
+
+    def blocks():
+        return sum(1 for b in _all_blocks(store) if b.startswith("shuffle_"))
+
+    before = blocks()
+    with tables.temporary(spark):
+        spark.range(1000).repartition(7).write.format("noop").mode("overwrite").save()
+        for _ in range(50):
+            if blocks() <= before:
+                break
+            time.sleep(0.1)
+        assert blocks() <= before
+
+
+def _all_blocks(store):
+    found = store.diskBlockManager().getAllBlocks()
+    return [found.apply(i).name() for i in range(found.size())]
+
+
 def test_write_targets_is_idempotent_per_load(spark, tmp_path):
     df = spark.range(10)
     for _ in range(2):
