@@ -150,6 +150,10 @@ PLAIN = [
     _document("\n  " + ONE + " ", head=""),
     _document(f"<{TENDER}/>" + ONE),
     "\n" + _document(ONE) + " ",
+    _document("zz" + ONE + "yy", head="ww"),
+    _tender("<TENDERID>a>b</TENDERID>"),
+    _document(ONE, head="<EDI_DC40/>"),
+    _document(ONE, head="<EDI_DC40><TABNAM>a</TABNAM><Y><Z>1</Z></Y></EDI_DC40>"),
     '<?xml version="1.0" encoding="utf-8"?>\n' + _document(ONE),
     _tender("<RETAILSTOREID></RETAILSTOREID><TENDERTYPECODE/><TENDERID>  </TENDERID>"),
     _tender("<TENDERID> a\n b\r\nc\td </TENDERID><TENDERTYPECODE>null</TENDERTYPECODE>"),
@@ -171,6 +175,10 @@ ODD = [
     _document(ONE) + "<x>",
     _document(ONE) + "abc",
     _document(ONE).replace("</r>", ""),
+    _tender("<TENDERID<1>/TENDERID>"),
+    _tender("<TENDERID>1</TENDERTYPECODE>"),
+    _tender("<TENDERID>\x01</TENDERID>"),
+    _tender("<TENDERID>\ufffe</TENDERID>"),
     "<r xmlns='u'>" + _document(ONE)[3:],
     "<r><IDOC/></r>",
     "<r><X/></r>",
@@ -205,7 +213,7 @@ def test_a_load_reads_plain_and_other_documents_alike(spark):
     texts = spark.createDataFrame(list(enumerate(PLAIN + ODD)), "doc_id long, value string")
     raw = texts.select("doc_id", messages.envelope(F.lit(messages.MESSAGE_TYPE), F.coalesce(payload, F.lit("@"))).alias("value"))
     with tables.temporary(spark):
-        flat, sources, bad = ingest.read_documents(raw, ingest.Settings(online_source=SHOP), tables.cut_lineage)
+        flat, sources, bad = ingest.read_documents(raw, ingest.Settings(online_source=SHOP), tables.cut_buckets)
         good, broken = documents.parse_documents(texts)
         known = documents.segment_values(good, online_source=SHOP)
         order = lambda df: sorted(df.select(known.columns).collect(), key=lambda r: (r.doc_id, r.pos))
@@ -231,6 +239,31 @@ def test_shuffle_files_go_when_a_query_of_a_load_ends(spark):
         assert blocks() <= before
 
 
+def test_lines_of_a_load_are_not_moved_but_packs(spark, segment, dicts):
+    """Lines, their marks and tenders lie in buckets of the document."""
+    lines = [{"retailtypecode": "2001", "itemid": i, "retailquantity": "1", "salesamount": "5", "retailsequencenumber": "1",
+              "doc_id": d, "transactiontypecode": "1002"} for d in range(9) for i in ("A", "9UP9", None)]
+    paid = [{"tenderamount": "15.5", "doc_id": d, "transactiontypecode": "1002"} for d in range(9)]
+    xml = documents.build_xml({"E1BPRETAILLINEITEM": segment(lines), "E1BPTENDER": segment(paid)})
+    raw = xml.select("doc_id", messages.envelope(F.lit(messages.MESSAGE_TYPE), messages.encode_payload(F.col("value"))).alias("value"))
+    plans = []
+
+    def settle(df, *args, **more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return tables.cut_buckets(df, *args, **more)
+
+    with tables.temporary(spark), tables.meeting_in_buckets(spark):
+        flat, _, _ = ingest.read_documents(raw, ingest.Settings(online_source=SHOP), tables.cut_buckets)
+        items = ingest.corrected(flat, dicts, settle)["E1BPRETAILLINEITEM"]
+        claims, _ = plans
+        assert "Exchange hashpartitioning" not in claims
+        assert sorted((r.itemid or "", r.unresolved) for r in items.where("doc_id = 3").collect()) == [
+            ("", False), ("9UP9", True), ("A", False), ("S000004", False)]
+        # Whole documents lie in one bucket each.
+        at = items.select("doc_id", F.regexp_extract(F.input_file_name(), "_(\\d+)\\.c000", 1).alias("bucket")).distinct()
+        assert at.where("bucket <> ''").count() == 9
+
+
 def _all_blocks(store):
     found = store.diskBlockManager().getAllBlocks()
     return [found.apply(i).name() for i in range(found.size())]
