@@ -143,6 +143,21 @@ def test_lines_and_marks_cross_the_network_once_for_all_groups(lines, marks):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_settled_claims_are_made_once_and_alike(lines, marks):
+    items = lines(("2001", "A", 1, 5), ("2001", "A", 1, 5), ("2901", "A", -1, -5))
+    written = []
+
+    def settle(df):
+        written.append(df.columns)
+        return df.localCheckpoint()
+
+    for dealt in (False, True):
+        out = cancel.cancel_items(items, marks((1, "TAX", "x"), (2, "TAX", "x")), settle=settle, dealt=dealt)
+        assert codes(out) == ["2001", "2902", "2901"]
+        assert "collect_list" not in out._jdf.queryExecution().executedPlan().toString()
+    assert written == [["doc_id", "txn5", "pos"]] * 2
+
+
 def test_cancel_keeps_lines_without_document(lines, marks):
     items = lines(("2001", "A", 1, 5), ("2901", "A", -1, -5)).withColumn("doc_id", F.lit(None).cast("long"))
     assert codes(cancel.cancel_items(items, marks())) == ["2001", "2901"]
